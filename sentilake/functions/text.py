@@ -62,6 +62,8 @@ _EMOJI_CLASS = (
     r"\x{1FADF}-\x{1FAE9}\x{1FAF0}-\x{1FAF8}"
 )
 _EMOJI_UNIT = rf"[{_EMOJI_CLASS}]\x{{FE0F}}?[\x{{E0020}}-\x{{E007F}}]*"
+# Code points an emoji can start with, as a few wide ranges.
+_EMOJI_SPAN = r"\x{A9}\x{AE}\x{203C}-\x{3299}\x{1F004}-\x{1FAF8}"
 EMOJI = rf"[0-9#*]\x{{FE0F}}?\x{{20E3}}|{_EMOJI_UNIT}(?:\x{{200D}}{_EMOJI_UNIT})*"
 
 
@@ -107,7 +109,10 @@ def remove_numbers(col: Column) -> Column:
 
 
 def remove_emojis(col: Column) -> Column:
-    return strip(F.regexp_replace(col, EMOJI, ""))
+    # The wide ranges reject ordinary letters before the long character class is tried.
+    pattern = EMOJI.replace("|", f"|(?=[{_EMOJI_SPAN}])(?:", 1) + ")"
+    may_hold = col.rlike(f"[{_EMOJI_SPAN}\\x{{20E3}}]")
+    return strip(F.when(may_hold, F.regexp_replace(col, pattern, "")).otherwise(col))
 
 
 def whitespace_tokens(col: Column) -> Column:

@@ -3,7 +3,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from sentilake.functions import wordlists as WL
@@ -11,6 +11,10 @@ from sentilake.functions import wordlists as WL
 ANNOTATORS = ("label_1", "label_2", "label_3")
 
 
+def _votes_for(votes: Column, cls: str) -> Column:
+    return F.size(F.filter(votes, lambda v: v == F.lit(cls)))
+
+
 def label_distribution(df: DataFrame, label: str) -> DataFrame:
     """(label, count, share in %) by descending count; nulls are not counted."""
     counts = df.where(F.col(label).isNotNull()).groupBy(label).agg(F.count(F.lit(1)).alias("count"))
@@ -31,8 +35,7 @@ def vote_counts(df: DataFrame, annotators: Sequence[str] = ANNOTATORS,
                 classes: Sequence[str] = tuple(WL.CLASSES)) -> DataFrame:
     """Add `n_<class>`: how many annotators chose the class. Row-local."""
     votes = F.array(*[F.col(a) for a in annotators])
-    return df.select("*", *[
-        F.size(F.filter(votes, lambda v, c=c: v == F.lit(c))).cast("bigint").alias(f"n_{c}") for c in classes])
+    return df.select("*", *[_votes_for(votes, c).cast("bigint").alias(f"n_{c}") for c in classes])
 
 
 def fleiss_kappa(df: DataFrame, annotators: Sequence[str] = ANNOTATORS,
@@ -69,7 +72,7 @@ def majority_label(df: DataFrame, annotators: Sequence[str] = ANNOTATORS, fallba
     """
     fallback = fallback or annotators[-1]
     votes = F.array(*[F.col(a) for a in annotators])
-    counts = [F.size(F.filter(votes, lambda v, c=c: v == F.lit(c))) for c in classes]
+    counts = [_votes_for(votes, c) for c in classes]
     top = F.greatest(*counts)
     leaders = sum([F.when(c == top, 1).otherwise(0) for c in counts[1:]], F.when(counts[0] == top, 1).otherwise(0))
     winner = F.lit(None).cast("string")
