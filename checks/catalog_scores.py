@@ -9,6 +9,7 @@ from checks import standins as S
 from checks.registry import query
 from sentilake.functions import text as T
 from sentilake.operators import agreement, bayes, features, lexicon, sampling, senses
+from sentilake.session import materialize
 
 NS = S.NOT_SPACE
 
@@ -356,7 +357,7 @@ NB = {
     "likes": """SELECT term, y, ln((c + 0.5::DOUBLE) / (sum(c) OVER (PARTITION BY y) + 0.5::DOUBLE * count(*) OVER (PARTITION BY y))) AS lp
         FROM cells""",
     "priors": "SELECT y, ln(count(*) / sum(count(*)) OVER ()) AS prior FROM split_rows WHERE split = 'train' GROUP BY y",
-    "nb_scores": """SELECT row_id, y, prior + coalesce(s, 0) AS score FROM (SELECT row_id FROM predictions), priors
+    "nb_scores": """SELECT row_id, y, prior + coalesce(s, 0) AS score FROM (SELECT * FROM (SELECT row_id FROM predictions), priors)
         LEFT JOIN (SELECT row_id, l.y, sum(n * lp) AS s FROM bow JOIN likes l USING (term) GROUP BY row_id, l.y) USING (row_id, y)""",
 }
 
@@ -382,7 +383,7 @@ def _(spark, sf):
                                            "predictions", **NB))
 def _(spark, sf):
     t, vocabulary, counts, rows = _nb_parts(spark, sf)
-    model = bayes.fit_multinomial(counts, rows.where("split = 'train'"), vocabulary, 0.5)
+    model = materialize(bayes.fit_multinomial(counts, rows.where("split = 'train'"), vocabulary, 0.5))
     return bayes.predict_multinomial(t, counts, model)
 
 

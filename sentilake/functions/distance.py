@@ -47,6 +47,11 @@ def _two_swaps(s: Column, t: Column) -> Column:
     return (n == F.length(t)) & (n >= 4) & _swap_head(s, t) & tail_swap & (_rest(s, 3, 2) == _rest(t, 3, 2))
 
 
+def _left_over(a: Column, b: Column) -> Column:
+    """How many characters of `a` do not occur in `b` at all."""
+    return F.length(F.call_function("translate", a, b, F.lit("")))
+
+
 def edits_within_two(a: Column, b: Column) -> Column:
     """Edit distance 0, 1 or 2, counting a swap of neighbours as one edit; null if larger.
 
@@ -73,8 +78,14 @@ def edits_within_two(a: Column, b: Column) -> Column:
                                            _core(x["t"], F.lit(0), q).alias("t")), on_core)))
                 .otherwise(F.when(lev <= 2, lev)))
 
-        # A swap can save at most one edit each, so beyond 4 nothing is left to gain.
-        return (F.when(lev <= 1, lev).when(lev > 4, F.lit(None).cast("int"))
+        # A swap saves one edit, so beyond 4 nothing is left to gain. Swaps bring in no new
+        # letters: one swap or two need the same letters, a swap and an edit nearly so.
+        gap = F.abs(F.length(a) - F.length(b))
+        strange_a, strange_b = _left_over(a, b), _left_over(b, a)
+        same = (gap == 0) & (strange_a == 0) & (strange_b == 0)
+        near = (gap <= 1) & (strange_a <= 1) & (strange_b <= 1)
+        return (F.when(lev <= 1, lev).when((lev == 2) & ~same, F.lit(2))
+                .when((lev > 4) | ((lev == 4) & ~same) | ((lev == 3) & ~near), F.lit(None).cast("int"))
                 .otherwise(let(_common_prefix(a, b), cut)))
 
     return let(F.levenshtein(a, b), decide)

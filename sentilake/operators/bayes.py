@@ -4,7 +4,7 @@ from __future__ import annotations
 import math
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from sentilake.functions import wordlists as WL
@@ -29,17 +29,17 @@ def fit_multinomial(counts: DataFrame, labels: DataFrame, vocabulary: DataFrame,
                                      for i, c in enumerate(classes)])
     full = vocabulary.select("term").join(sums, "term", "left").fillna(0)
     size = len(classes)
-    totals = full.agg(F.struct(F.count(F.lit(1)).alias("v"), *[F.sum(f"c{i}").alias(f"t{i}") for i in range(size)])
-                      .alias("t")).scalar()
-    held = full.withColumn("_t", totals)
+    # The vocabulary is a top-k, so a window over all of it is small.
+    whole = Window.partitionBy(F.lit(1))
     like = F.array(*[F.ln((F.col(f"c{i}") + F.lit(float(alpha)))
-                          / (F.col(f"_t.t{i}") + F.lit(float(alpha)) * F.col("_t.v"))) for i in range(size)])
+                          / (F.sum(f"c{i}").over(whole) + F.lit(float(alpha)) * F.count(F.lit(1)).over(whole)))
+                     for i in range(size)])
     prior_counts = labels.agg(F.count(label).alias("n"), *[F.count_if(F.col(label) == c).alias(f"c{i}")
                                                             for i, c in enumerate(classes)])
     absent = F.lit(-math.inf)
     prior = F.array(*[F.when(F.col(f"c{i}") > 0, F.ln(F.col(f"c{i}") / F.col("n"))).otherwise(absent)
                       for i in range(size)])
-    return held.select("term", like.alias("lp")).unionByName(
+    return full.select("term", like.alias("lp")).unionByName(
         prior_counts.select(F.lit(None).cast("string").alias("term"), prior.alias("lp")))
 
 

@@ -61,7 +61,7 @@ def length_summary(frame: DataFrame, by: str | None = None, length: str = "revie
     keys = [by] if by else []
     counts = frame.groupBy(*keys, length).agg(F.count(F.lit(1)).alias("c"))
     c, x = F.col("c"), F.col(length).cast("double")
-    quart = F.percentile(length, F.array(*[F.lit(q) for q in QUARTILES]), "c")
+    quart = F.percentile(length, F.array(*[F.lit(q) for q in QUARTILES]), c)
     exact = F.col(length).cast("decimal(38,0)")
     aggs = [F.sum(c).alias("count"), F.sum(c * x).alias("s"), F.sum(exact * exact * c).alias("ss"),
             F.min(length).alias("min"), quart.alias("q"), F.max(length).alias("max")]

@@ -1,10 +1,10 @@
 """Seeded samples, stratified splits and folds that do not depend on partitioning."""
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Row, Window
 from pyspark.sql import functions as F
 
-from sentilake.operators.joins import class_map
+from sentilake.operators.joins import MAX_CLASSES, class_map
 
 HASH_PREFIX = 4  # hex digits: 65,536 buckets per class
 
@@ -34,33 +34,55 @@ def split_quotas(df: DataFrame, label: str, test_share: float = 0.2) -> DataFram
                                             .otherwise(0)).cast("bigint").alias("quota"))
 
 
-def stratified_split(df: DataFrame, label: str, test_share: float = 0.2, seed: int = 42,
-                     row_id: str = "row_id", name: str = "split") -> DataFrame:
-    """Add `split` = train / test with exact per-label quotas.
+def _per_class(stats: DataFrame) -> list[Row]:
+    """One row per class on the driver, with the number of classes checked."""
+    rows = stats.limit(MAX_CLASSES + 1).collect()
+    if len(rows) > MAX_CLASSES:
+        raise ValueError("too many classes for a stratified split")
+    return rows
 
-    Within a label the rows with the smallest hashes are the test rows. Instead of
-    ranking a whole label in one task, the hash of the quota's last row is found
-    from a bucket histogram; only the bucket that holds it is ranked. The data is
-    then split by a comparison, without a shuffle.
+
+def split_limits(df: DataFrame, label: str, test_share: float = 0.2, seed: int = 42,
+                 row_id: str = "row_id") -> list[Row]:
+    """(label, hash, row id) of the last test row per label.
+
+    A histogram over hash buckets finds the bucket that holds it; only that bucket, a
+    65,536th of the label, is ranked. Runs two small jobs, as fitting a model would.
     """
-    keyed = df.select(F.col(label).alias("_y"), F.col(row_id).alias("_id"),
-                      hash_order(row_id, seed).alias("_h"))
+    keyed = df.select(F.col(label).alias("_y"), F.col(row_id).alias("_id"), hash_order(row_id, seed).alias("_h"))
     keyed = keyed.withColumn("_b", F.substring("_h", 1, HASH_PREFIX))
-    quota = class_map(split_quotas(df, label, test_share), label, "quota")
     histogram = keyed.groupBy("_y", "_b").agg(F.count(F.lit(1)).alias("n"))
     upto = F.sum("n").over(Window.partitionBy("_y").orderBy("_b"))
-    edge = (histogram.select("_y", "_b", "n", upto.alias("upto"), quota[F.col("_y")].alias("quota"))
-            .where((F.col("upto") >= F.col("quota")) & (F.col("upto") - F.col("n") < F.col("quota")))
-            .withColumn("need", F.col("quota") - (F.col("upto") - F.col("n"))))
-    edges = class_map(edge, "_y", "_b", "need")
-    in_edge = keyed.where(F.col("_b") == edges[F.col("_y")]["_b"])
+    placed = histogram.select("_y", "_b", "n", upto.alias("upto"))
+    # At most 65,536 histogram rows per label meet one quota row per label.
+    quotas = split_quotas(df, label, test_share).select(F.col(label).alias("_y"), "quota")
+    edge = (placed.join(F.broadcast(quotas), "_y")
+            .where((F.col("upto") >= F.col("quota")) & (F.col("upto") - F.col("n") < F.col("quota"))))
+    edges = _per_class(edge.select("_y", "_b", (F.col("quota") - (F.col("upto") - F.col("n"))).alias("need")))
+    if not edges:
+        return []
+    in_edge, need = F.lit(False), F.lit(None).cast("bigint")
+    for e in edges:
+        in_edge = in_edge | ((F.col("_y") == F.lit(e["_y"])) & (F.col("_b") == F.lit(e["_b"])))
+        need = F.when(F.col("_y") == F.lit(e["_y"]), F.lit(e["need"])).otherwise(need)
     rank = F.row_number().over(Window.partitionBy("_y").orderBy("_h", "_id"))
-    last = in_edge.withColumn("_r", rank).where(F.col("_r") == edges[F.col("_y")]["need"])
-    limits = class_map(last, "_y", "_h", "_id")
-    at = limits[F.col(label)]
-    own = hash_order(row_id, seed)
-    is_test = (own < at["_h"]) | ((own == at["_h"]) & (F.col(row_id) <= at["_id"]))
-    return df.withColumn(name, F.when(F.coalesce(is_test, F.lit(False)), "test").otherwise("train"))
+    last = keyed.where(in_edge).withColumn("_r", rank).where(F.col("_r") == need)
+    return _per_class(last.select("_y", "_h", "_id"))
+
+
+def stratified_split(df: DataFrame, label: str, test_share: float = 0.2, seed: int = 42,
+                     row_id: str = "row_id", name: str = "split") -> DataFrame:
+    """Add `split` = train / test with exact per-label quotas.
+
+    Within a label the rows with the smallest hashes are the test rows. Ranking a whole
+    label would put it into one task; comparing each row with its label's limit splits
+    the data without a shuffle.
+    """
+    own, is_test = hash_order(row_id, seed), F.lit(False)
+    for at in split_limits(df, label, test_share, seed, row_id):
+        inside = (own < F.lit(at["_h"])) | ((own == F.lit(at["_h"])) & (F.col(row_id) <= F.lit(at["_id"])))
+        is_test = is_test | ((F.col(label) == F.lit(at["_y"])) & inside)
+    return df.withColumn(name, F.when(is_test, "test").otherwise("train"))
 
 
 def stratified_folds(df: DataFrame, label: str, k: int = 5, seed: int = 42,
