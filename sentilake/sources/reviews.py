@@ -40,7 +40,8 @@ def write_csv(df: DataFrame, path: str, index: bool = False, row_id: str = "row_
     """Write CSV with a header; `index` keeps the row id as the first column."""
     rest = [c for c in df.columns if c != row_id]
     cols = [row_id, *rest] if index and row_id in df.columns else rest
-    df.select(*cols).write.mode(mode).csv(path, header=True, escape='"')
+    df.select(*cols).write.mode(mode).csv(path, header=True, escape='"', ignoreLeadingWhiteSpace=False,
+                                          ignoreTrailingWhiteSpace=False)
 
 
 def with_file_order(df: DataFrame, name: str = "file_order") -> DataFrame:
