@@ -273,7 +273,7 @@ def _(spark, sf):
     (SELECT count(*) FROM documents WHERE NOT regexp_matches(text, '{NS}')) AS empty_texts)""", **COUNTS))
 def _(spark, sf):
     t = S.texts(spark, sf)
-    return features.bow_stats(t, features.bow_vocabulary(t)).withColumn("density", F.round("density", 6))
+    return features.bow_stats(t, features.fit_vocabulary(t)).withColumn("density", F.round("density", 6))
 
 
 _DOCVEC = f"""SELECT row_id, list(round(m, 6) ORDER BY i) AS vec FROM (SELECT row_id, i, coalesce(sum(v) / count(v), 0) AS m FROM
@@ -364,8 +364,9 @@ NB = {
 
 def _nb_parts(spark, sf):
     t = S.texts(spark, sf)
-    vocabulary = features.bow_vocabulary(t)
-    counts = features.bow_counts(t, vocabulary)
+    vocabulary = features.fit_vocabulary(t)
+    # Training and prediction read the same counts.
+    counts = materialize(features.bow_counts(t, vocabulary))
     rows = sampling.stratified_split(S.truth(spark, sf), "y")
     return t, vocabulary, counts, rows
 

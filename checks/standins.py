@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from sentilake.functions.text import tokenize
 from sentilake.operators.agreement import majority_label
 from sentilake.operators.lexicon import Lexicon
+from sentilake.sources.reviews import spread
 
 CLASSES = ["negative", "neutral", "positive"]
 
@@ -25,12 +26,14 @@ VALUES = {"best": 3.25, "with": 0.5, "this": 0.25, "trash": -2.5, "lying": -1.75
           "for": 0.375, "disgusting": -3.0}
 VECTOR_DIM = 64
 VECTOR_WORDS = 500
+SPREAD_KEYS = {"documents": "doc_id", "events": "event_id", "pages": "page_id"}
 
 
 def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
     # Dates and months are defined in UTC.
     spark.conf.set("spark.sql.session.timeZone", "UTC")
-    return spark.read.parquet(f"{sf}/{name}.parquet")
+    df = spark.read.parquet(f"{sf}/{name}.parquet")
+    return spread(df, SPREAD_KEYS[name]) if name in SPREAD_KEYS else df
 
 
 def class_name(code: Column) -> Column:

@@ -154,8 +154,10 @@ def tokenize(col: Column, kind: str = "opinion") -> Column:
         bounded = f"(?<!{WORD_CHAR})[a-z]{{3,}}(?!{WORD_CHAR})"
         return F.regexp_extract_all(F.lower(col), F.lit(bounded), F.lit(0))
     if kind == "treebank":
-        spaced = F.regexp_replace(F.lower(col), r"(n't)([^\p{L}\p{N}_]|$)", " $1$2")
+        low = F.lower(col)
+        spaced = F.regexp_replace(low, r"(n't)([^\p{L}\p{N}_]|$)", " $1$2")
         spaced = F.regexp_replace(spaced, r"('(?:s|re|ve|ll|d|m))([^\p{L}\p{N}_]|$)", " $1$2")
+        spaced = F.when(low.contains("'"), spaced).otherwise(low)
         pattern = r"n't|'(?:s|re|ve|ll|d|m)|[\p{L}\p{N}_]+|[^\t\n\x0B\f\r \x1C-\x1F\x85\p{Z}\p{L}\p{N}_]"
         return F.regexp_extract_all(spaced, F.lit(pattern), F.lit(0))
     raise ValueError(f"unknown token kind: {kind}")

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from sentilake.functions.text import clean_vector, let, tokenize
 from sentilake.operators.joins import class_map, lookup
+from sentilake.session import materialize
 
 MAX_FEATURES = 5_000
 MAX_WIDE = 200
@@ -48,6 +49,11 @@ def bow_vocabulary(df: DataFrame, text_col: str = "review_text", max_features: i
     return top.withColumn("idx", F.row_number().over(Window.partitionBy(F.lit(1)).orderBy("term")) - 1)
 
 
+def fit_vocabulary(df: DataFrame, text_col: str = "review_text", **limits) -> DataFrame:
+    """`bow_vocabulary`, written once: counting, statistics and models all read it."""
+    return materialize(bow_vocabulary(df, text_col, **limits))
+
+
 def bow_counts(df: DataFrame, vocabulary: DataFrame, text_col: str = "review_text", row_id: str = "row_id",
                kind: str = "words2") -> DataFrame:
     """(row_id, term, idx, n) for the vocabulary's terms; the vocabulary is a top-k, hence small."""

@@ -15,10 +15,12 @@ from pyspark.sql import functions as F
 from sentilake.functions.distance import edits_within_two
 from sentilake.functions.text import let, whitespace_tokens
 from sentilake.operators.lemmas import rewrite_tokens
+from sentilake.session import materialize
 
 MAX_EDITS = 2
 SHORT_KEY = 2
 SHORT_KEY_SALTS = 16
+DISTANCE_STEP = 1 << 60
 
 
 def _drop_one(word: Column) -> Column:
@@ -39,42 +41,63 @@ def deletion_keys(word: Column, edits: int) -> Column:
     return let(_drop_one(word), widen)
 
 
-def _dictionary_keys(dictionary: DataFrame, edits: int) -> DataFrame:
-    """Deletion keys of the terms, with short (crowded) keys repeated per salt.
+def _salts(key: Column) -> Column:
+    """Short keys are shared by many words; each is spread over several tasks."""
+    return F.when(F.length(key) <= SHORT_KEY, SHORT_KEY_SALTS).otherwise(1)
+
+
+def _hashed(key: Column) -> Column:
+    # A collision only adds a pair that the exact check then drops.
+    return F.xxhash64(key).alias("key")
+
+
+def _dictionary_keys(words: DataFrame, edits: int) -> DataFrame:
+    """Hashed deletion keys of the terms, with short (crowded) keys repeated per salt.
 
     The empty key would pair all very short tokens with all very short terms. Terms of
     one length that share no letter with a token are equally far away, and terms that
-    do share one also meet it on another key, so the most frequent term per length is enough there.
+    do share one also meet it on another key, so the best-ranked term per length is enough there.
+    """
+    keyed = words.select("term", "rank", F.explode(deletion_keys(F.col("term"), edits)).alias("k"))
+    shortest = (words.where(F.length("term") <= edits).groupBy(F.length("term").alias("len"))
+                .agg(F.min_by("term", "rank").alias("term"), F.min("rank").alias("rank"))
+                .select("term", "rank", F.lit("").alias("k")))
+    rows = keyed.where(F.col("k") != "").unionByName(shortest)
+    salt = F.explode(F.sequence(F.lit(0), _salts(F.col("k")) - 1)).alias("salt")
+    return rows.select("term", "rank", _hashed(F.col("k")), salt)
+
+
+def _closest(tokens: DataFrame, words: DataFrame, edits: int) -> DataFrame:
+    """(token, term): smallest distance, then best rank.
+
+    Distance and rank are packed into one number, so the best pair per token is a plain
+    minimum that is taken on the map side first.
     """
-    keyed = dictionary.select("term", "freq", F.explode(deletion_keys(F.col("term"), edits)).alias("key"))
-    shortest = (dictionary.where(F.length("term") <= edits).groupBy(F.length("term").alias("len"))
-                .agg(F.min(F.struct((-F.col("freq")).alias("f"), "term")).alias("b"))
-                .select(F.col("b.term").alias("term"), (-F.col("b.f")).alias("freq"), F.lit("").alias("key")))
-    rows = keyed.where(F.col("key") != "").unionByName(shortest)
-    copies = F.when(F.length("key") <= SHORT_KEY, SHORT_KEY_SALTS).otherwise(1)
-    return rows.withColumn("salt", F.explode(F.sequence(F.lit(0), copies - 1)))
-
-
-def _closest(tokens: DataFrame, dictionary: DataFrame, edits: int) -> DataFrame:
-    """(token, term): smallest distance, then highest frequency, then alphabetical."""
-    keyed = tokens.select("token", F.explode(deletion_keys(F.col("token"), edits)).alias("key"))
-    salts = F.when(F.length("key") <= SHORT_KEY, SHORT_KEY_SALTS).otherwise(1)
-    keyed = keyed.withColumn("salt", F.pmod(F.xxhash64("token"), salts).cast("int"))
-    pairs = keyed.join(_dictionary_keys(dictionary, edits), ["key", "salt"])
+    keyed = tokens.select("token", F.explode(deletion_keys(F.col("token"), edits)).alias("k"))
+    salt = F.pmod(F.xxhash64("token"), _salts(F.col("k"))).cast("int").alias("salt")
+    keyed = keyed.select("token", _hashed(F.col("k")), salt)
+    pairs = keyed.join(_dictionary_keys(words, edits).hint("shuffle_hash"), ["key", "salt"])
     close = pairs.where(F.abs(F.length("token") - F.length("term")) <= edits)
-    measured = close.select("token", "term", "freq", edits_within_two(F.col("token"), F.col("term")).alias("d"))
-    best = (measured.where(F.col("d") <= edits).groupBy("token")
-            .agg(F.min(F.struct("d", (-F.col("freq")).alias("f"), "term")).alias("b")))
-    return best.select("token", F.col("b.term").alias("term"))
+    measured = close.select("token", "rank", edits_within_two(F.col("token"), F.col("term")).alias("d"))
+    packed = F.col("d").cast("bigint") * F.lit(DISTANCE_STEP) + F.col("rank")
+    best = measured.where(F.col("d") <= edits).groupBy("token").agg(F.min(packed).alias("best"))
+    rank = F.pmod(F.col("best"), F.lit(DISTANCE_STEP)).alias("rank")
+    return best.select("token", rank).join(words, "rank").select("token", "term")
 
 
 def closest_terms(tokens: DataFrame, dictionary: DataFrame) -> DataFrame:
-    """(token, term) for distinct `tokens` that are not in the dictionary but near a term."""
-    words = dictionary.groupBy("term").agg(F.max("freq").cast("bigint").alias("freq")).where(F.col("term") != "")
+    """(token, term) for distinct `tokens` that are not in the dictionary but near a term.
+
+    The ranked dictionary and the unknown tokens feed both passes, so they are written once.
+    """
+    words = materialize(
+        dictionary.groupBy("term").agg(F.max("freq").alias("freq")).where(F.col("term") != "")
+        .orderBy(F.desc("freq"), "term").select("term", F.monotonically_increasing_id().alias("rank")))
     longest = words.agg((F.max(F.length("term")) + MAX_EDITS).alias("m")).scalar()
-    unknown = (tokens.where((F.col("token") != "") & (F.length("token") <= longest))
-               .join(words.select(F.col("term").alias("token")), "token", "left_anti"))
-    near = _closest(unknown, words, 1)
+    unknown = materialize(
+        tokens.where((F.col("token") != "") & (F.length("token") <= longest))
+        .join(words.select(F.col("term").alias("token")), "token", "left_anti"))
+    near = materialize(_closest(unknown, words, 1))
     far = _closest(unknown.join(near, "token", "left_anti"), words, MAX_EDITS)
     return near.unionByName(far)
 
