@@ -352,21 +352,80 @@ for _kind in SQL_TOKENS:
     _token_kind(_kind)
 
 
-# Spelling: no SQL; brute force over whole tables is too slow, so the tests compare a fixture.
+def _drops(x: str, i: str) -> str:
+    return f"list_transform(range(1, length({x}) + 1), lambda {i}: left({x}, {i} - 1) || substr({x}, {i} + 1))"
 
-@query("spell_correct")
+
+def _keys(x: str) -> str:
+    return f"unnest(list_distinct([{x}] || {_drops(x, 'i')} || flatten(list_transform({_drops(x, 'i')}, lambda w: {_drops('w', 'j')}))))"
+
+
+def _one_swap(x: str, y: str, i: str) -> str:
+    """Two equally long strings that differ by one swap of neighbours."""
+    return (f"len(list_filter(range(1, length({x})), lambda {i}: left({x}, {i} - 1) = left({y}, {i} - 1) AND substr({x}, {i}, 1) = "
+            f"substr({y}, {i} + 1, 1) AND substr({x}, {i} + 1, 1) = substr({y}, {i}, 1) AND substr({x}, {i} + 2) = substr({y}, {i} + 2))) > 0")
+
+
+def _swap_and_one_more() -> str:
+    """A swap somewhere, and one more edit before it or after it, but not inside it."""
+    tests = []
+    for o in (-1, 0, 1):
+        j = f"(i + {o})"
+        pre = f"left(w, i - 1), left(term, {j} - 1)"
+        x, y = "substr(w, i + 2)", f"substr(term, {j} + 2)"
+        more = f"levenshtein({x}, {y}) <= 1" + (f" OR {_one_swap(x, y, 'k')}" if o == 0 else "")
+        tests.append(f"({j} >= 1 AND substr(w, i, 1) = substr(term, {j} + 1, 1) AND substr(w, i + 1, 1) = substr(term, {j}, 1) "
+                     f"AND length(substr(term, {j} + 1, 1)) = 1 AND ((left(w, i - 1) = left(term, {j} - 1) AND ({more})) "
+                     f"OR ({x} = {y} AND levenshtein({pre}) <= 1)))")
+    return f"len(list_filter(range(1, length(w)), lambda i: {' OR '.join(tests)})) > 0"
+
+
+def spell_views(source: str) -> dict[str, str]:
+    """CTEs that correct `review_text` of the named relation; the result is `corrected`.
+
+    Dictionary terms are plain ASCII, so other characters can stand as one placeholder.
+    """
+    return {
+        "s_rows": f"""SELECT row_id, unnest(t) AS token, generate_subscripts(t, 1) AS pos FROM
+            (SELECT row_id, regexp_extract_all(review_text, '{NS}+') AS t FROM {source})""",
+        "s_words": r"""SELECT token, regexp_replace(token, '[^\x00-\x7F]', '#', 'g') AS w FROM (SELECT DISTINCT token FROM s_rows)
+            WHERE token NOT IN (SELECT term FROM dictionary) AND length(token) <= (SELECT max(length(term)) + 2 FROM dictionary)""",
+        "s_pairs": f"""SELECT DISTINCT token, w, term, freq FROM (SELECT token, w, {_keys('w')} AS k FROM s_words)
+            JOIN (SELECT term, freq, {_keys('term')} AS k FROM dictionary) USING (k) WHERE abs(length(w) - length(term)) <= 2""",
+        "s_lev": "SELECT *, levenshtein(w, term) AS l FROM s_pairs",
+        "s_dist": f"""SELECT token, term, freq, CASE WHEN l <= 1 THEN l WHEN length(w) = length(term) AND {_one_swap('w', 'term', 'i')} THEN 1
+            WHEN l = 2 THEN 2 WHEN {_swap_and_one_more()} THEN 2 END AS d FROM s_lev""",
+        "s_best": """SELECT token, term FROM (SELECT token, term, row_number() OVER (PARTITION BY token ORDER BY d, freq DESC, term) AS k
+            FROM s_dist WHERE d IS NOT NULL) WHERE k = 1""",
+        "s_texts": """SELECT row_id, string_agg(coalesce(term, token), ' ' ORDER BY pos) AS t FROM s_rows LEFT JOIN s_best USING (token)
+            GROUP BY row_id""",
+        "corrected": f"SELECT row_id, coalesce(t, '') AS review_text FROM {source} LEFT JOIN s_texts USING (row_id)"}
+
+
+@query("spell_correct", S.with_views("SELECT row_id, review_text FROM corrected", "reviews", "dictionary", **spell_views("reviews")))
 def _(spark, sf):
     return spelling.spell_correct(S.texts(spark, sf), S.dictionary(spark, sf))
 
 
-@query("scheme_c")
+_scheme_b = {"scheme_a": _scheme_a_sql, "no_numbers": _numbers_sql, **lemma_views("no_numbers"),
+             "scheme_b": f"SELECT row_id, {SQL_STEPS['remove_emojis']('review_text')} AS review_text FROM lemmatized"}
+
+
+@query("scheme_c", S.with_views(f"SELECT row_id, {SQL_STEPS['remove_stopwords']('review_text')} AS review_text FROM corrected",
+                                "reviews", "translations", "dictionary", **_scheme_b, **spell_views("scheme_b")))
 def _(spark, sf):
     r = _resources(spark, sf)
     b = schemes.scheme_b(schemes.scheme_a(S.texts(spark, sf), r), r)
     return schemes.scheme_c(b, r)
 
 
-@query("scheme_full")
+_full = {"scheme_a": _scheme_a_sql, "no_numbers": _numbers_sql, **spell_views("no_numbers"), **lemma_views("corrected")}
+
+
+@query("scheme_full", S.with_views(
+    f"""SELECT row_id, {SQL_STEPS['remove_emojis'](SQL_STEPS['remove_stopwords']('l.review_text'))} AS review_text, genres,
+    CASE WHEN regexp_matches(genres, '''(.*?)''') THEN regexp_extract(genres, '''(.*?)''', 1) ELSE 'Unknown' END AS category
+    FROM lemmatized l JOIN reviews USING (row_id)""", "reviews", "translations", "dictionary", **_full))
 def _(spark, sf):
     rows = S.reviews(spark, sf).select("row_id", "review_text", "genres")
     return schemes.scheme_full(rows, _resources(spark, sf), category_col="genres")
