@@ -259,7 +259,7 @@ def _(spark, sf):
 
 
 def _share_sql(col: str, source: str, limit: str = "") -> str:
-    return f"""SELECT {col}, count(*) AS count, round(count(*) * 100 / sum(count(*)) OVER (), 2) AS percent FROM {source}
+    return f"""SELECT {col}, count(*) AS count, {S.sql_round('count(*) * 100 / sum(count(*)) OVER ()', 2)} AS percent FROM {source}
         GROUP BY {col} ORDER BY count(*) DESC, {col} {limit}"""
 
 

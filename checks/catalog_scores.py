@@ -130,8 +130,8 @@ def _(spark, sf):
 
 
 def _sense_sql(limit: float) -> str:
-    return S.with_views(f"""SELECT row_id, round(ap, 4) AS swn_pos_score, round(an, 4) AS swn_neg_score,
-        round(ap - an, 4) AS swn_net_score, CASE WHEN ap - an > {limit} THEN 'positive' WHEN ap - an < -{limit} THEN 'negative'
+    return S.with_views(f"""SELECT row_id, {S.sql_round('ap', 4)} AS swn_pos_score,
+        {S.sql_round('an', 4)} AS swn_neg_score, {S.sql_round('ap - an', 4)} AS swn_net_score, CASE WHEN ap - an > {limit} THEN 'positive' WHEN ap - an < -{limit} THEN 'negative'
         ELSE 'neutral' END AS swn_label FROM (SELECT row_id, coalesce(sp / k, 0) AS ap, coalesce(sn / k, 0) AS an
         FROM reviews LEFT JOIN sums USING (row_id))""", "reviews", "senses", "tags",
         tree=tree_tokens("coalesce(review_text, 'nan')", "reviews"), flagged=flags(_neg),

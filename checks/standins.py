@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from sentilake.functions.text import tokenize
 from sentilake.operators.agreement import majority_label
 from sentilake.operators.lexicon import Lexicon
-from sentilake.sources.reviews import spread
+from sentilake.session import spread
 
 CLASSES = ["negative", "neutral", "positive"]
 
@@ -203,6 +203,11 @@ def sql_strip(x: str) -> str:
     return f"regexp_replace({x}, '^{SPACE}+|{SPACE}+$', '', 'g')"
 
 
+def sql_round(x: str, digits: int) -> str:
+    """Round half up on the decimal value a double prints as, which is Spark's rule."""
+    return f"CAST(round(CAST(CAST({x} AS VARCHAR) AS DECIMAL(38, 20)), {digits}) AS DOUBLE)"
+
+
 def sql_case_class(code: str) -> str:
     return f"CASE {code} WHEN 0 THEN 'negative' WHEN 1 THEN 'neutral' ELSE 'positive' END"
 

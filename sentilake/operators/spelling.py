@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from sentilake.functions.distance import edits_within_two
 from sentilake.functions.text import let, whitespace_tokens
 from sentilake.operators.lemmas import rewrite_tokens
-from sentilake.session import materialize
+from sentilake.session import materialize, spread
 
 MAX_EDITS = 2
 SHORT_KEY = 2
@@ -79,8 +79,9 @@ def _closest(tokens: DataFrame, words: DataFrame, edits: int) -> DataFrame:
     pairs = keyed.join(_dictionary_keys(words, edits).hint("shuffle_hash"), ["key", "salt"])
     close = pairs.where(F.abs(F.length("token") - F.length("term")) <= edits)
     measured = close.select("token", "rank", edits_within_two(F.col("token"), F.col("term")).alias("d"))
-    packed = F.col("d").cast("bigint") * F.lit(DISTANCE_STEP) + F.col("rank")
-    best = measured.where(F.col("d") <= edits).groupBy("token").agg(F.min(packed).alias("best"))
+    # Not a filter on the distance: it would be pushed down and measured twice.
+    packed = F.when(F.col("d") <= edits, F.col("d").cast("bigint") * F.lit(DISTANCE_STEP) + F.col("rank"))
+    best = measured.groupBy("token").agg(F.min(packed).alias("best")).where(F.col("best").isNotNull())
     rank = F.pmod(F.col("best"), F.lit(DISTANCE_STEP)).alias("rank")
     return best.select("token", rank).join(words, "rank").select("token", "term")
 
@@ -97,6 +98,8 @@ def closest_terms(tokens: DataFrame, dictionary: DataFrame) -> DataFrame:
     unknown = materialize(
         tokens.where((F.col("token") != "") & (F.length("token") <= longest))
         .join(words.select(F.col("term").alias("token")), "token", "left_anti"))
+    # Few bytes, but each word becomes dozens of keys.
+    words, unknown = spread(words, "term"), spread(unknown, "token")
     near = materialize(_closest(unknown, words, 1))
     far = _closest(unknown.join(near, "token", "left_anti"), words, MAX_EDITS)
     return near.unionByName(far)

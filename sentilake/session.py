@@ -10,6 +10,8 @@ SETTINGS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # Recording the call site of every column operation slows down building large expressions.
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
     # Per-review collects have many groups per task; sorting after 128 of them is wasteful.
     "spark.sql.objectHashAggregate.sortBased.fallbackThreshold": "4096",
 }
@@ -39,3 +41,15 @@ def materialize(df: DataFrame) -> DataFrame:
             folder = tempfile.mkdtemp(prefix="sentilake-")
         sc.setCheckpointDir(folder)
     return df.checkpoint()
+
+
+def spread(df: DataFrame, key: str) -> DataFrame:
+    """Spread a frame with fewer partitions than cores by a hash of its unique key.
+
+    A file written as one row group is a single task however it is split, and small
+    results are merged into few partitions although each row may mean much work. Inputs
+    with enough splits are left alone: no shuffle. Meant for scans and materialized
+    frames, whose partitions are known without running anything.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores, key) if df.rdd.getNumPartitions() < cores else df

@@ -44,16 +44,6 @@ def write_csv(df: DataFrame, path: str, index: bool = False, row_id: str = "row_
                                           ignoreTrailingWhiteSpace=False)
 
 
-def spread(df: DataFrame, key: str) -> DataFrame:
-    """Spread a scan with fewer splits than cores by a hash of its unique key.
-
-    A file written as one row group is a single task however it is split, and text work
-    is heavy per row. Inputs with enough splits are left alone: no shuffle.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores, key) if df.rdd.getNumPartitions() < cores else df
-
-
 def with_file_order(df: DataFrame, name: str = "file_order") -> DataFrame:
     """Add a number that grows with a row's place in its file; for frames read from files.
 
