@@ -350,7 +350,7 @@ def _embedding_rows(spark, sf):
 
 def _bow_rows(spark, sf):
     rows = S.labelled(spark, sf).select("row_id", "review_text", "y")
-    held = sampling.stratified_split(features.bow_vectors(rows, features.bow_vocabulary(rows)), "y")
+    held = sampling.stratified_split(features.bow_vectors(rows, features.fit_vocabulary(rows)), "y")
     return materialize(held.drop("review_text"))
 
 

@@ -251,7 +251,7 @@ def _(spark, sf):
 @query("bow_counts", S.with_views("SELECT * FROM bow", **COUNTS))
 def _(spark, sf):
     t = S.texts(spark, sf)
-    return features.bow_counts(t, features.bow_vocabulary(t)).withColumn("idx", F.col("idx").cast("bigint"))
+    return features.bow_counts(t, features.fit_vocabulary(t)).withColumn("idx", F.col("idx").cast("bigint"))
 
 
 WIDE_WORDS = ["best", "from", "the", "with"]
@@ -304,7 +304,7 @@ def _(spark, sf):
     WHERE hi <> CASE WHEN k < (SELECT count(*) FROM documents) THEN least(lo, 0) ELSE lo END""", **COUNTS))
 def _(spark, sf):
     t = S.texts(spark, sf)
-    counts = features.bow_counts(t, features.bow_vocabulary(t))
+    counts = features.bow_counts(t, features.fit_vocabulary(t))
     return features.drop_constant_features(counts, t.agg(F.count(F.lit(1)).alias("c")).scalar())
 
 

@@ -211,7 +211,7 @@ def _(spark, sf):
 def _(spark, sf):
     items = S.table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey")
     games = S.table(spark, sf, "part").select(F.col("p_partkey").alias("l_partkey"), "p_brand", "p_size")
-    return columns.attach_game_details(items, games, "l_partkey")
+    return columns.attach_game_details(items, games, "l_partkey", spread_by="l_orderkey")
 
 
 # ------------------------------------------------------------------ cleaning

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from sentilake.functions import wordlists as WL
 from sentilake.functions.text import let
+from sentilake.operators.joins import lookup
 
 
 def _argmax_label(scores: Column) -> Column:
@@ -47,12 +48,12 @@ def predict_multinomial(rows: DataFrame, counts: DataFrame, model: DataFrame, ro
                         classes: Sequence[str] = tuple(WL.CLASSES), name: str = "p") -> DataFrame:
     """(row_id, p): the most probable class of every row, also of rows without a known term.
 
-    The model has one row per vocabulary term, and vocabularies are cut to a top-k.
+    The model is read twice and its size is checked; materialize it after fitting.
     """
     size = len(classes)
     terms = model.where(F.col("term").isNotNull())
     prior = model.where(F.col("term").isNull()).select("lp").scalar()
-    sums = (counts.join(F.broadcast(terms), "term").groupBy(row_id)
+    sums = (lookup(counts, terms, ["term"], "inner", spread_by=row_id).groupBy(row_id)
             .agg(*[F.sum(F.col("n") * F.col("lp")[i]).alias(f"s{i}") for i in range(size)]))
     all_rows = rows.select(row_id).join(sums, row_id, "left").withColumn("_prior", prior)
     scores = F.array(*[F.struct((F.coalesce(F.col(f"s{i}"), F.lit(0.0)) + F.col("_prior")[i]).alias("score"),

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from sentilake.functions import wordlists as WL
 from sentilake.functions.text import is_blank, rating_label
+from sentilake.operators.joins import lookup
 
 
 def derive_review_columns(df: DataFrame, text_col: str = "review_text", minutes_col: str = "playtime_min",
@@ -63,11 +64,12 @@ def fill_missing_text(df: DataFrame, text_col: str = "review_text", filler: str
     return df.fillna({text_col: filler})
 
 
-def attach_game_details(reviews: DataFrame, games: DataFrame, on: str = "app_id") -> DataFrame:
+def attach_game_details(reviews: DataFrame, games: DataFrame, on: str = "app_id",
+                        spread_by: str = "row_id") -> DataFrame:
     """Add per-game columns to reviews; a column present on both sides takes the game's value.
 
-    Games are few rows next to reviews; their measured size decides on a broadcast, and
-    a very popular game is split by adaptive skew handling otherwise.
+    The game table is broadcast if its counted size allows; otherwise a very popular
+    game's reviews are spread over salts.
     """
     shared = [c for c in games.columns if c in reviews.columns and c != on]
-    return reviews.drop(*shared).join(games, on, "left")
+    return lookup(reviews.drop(*shared), games, [on], "left", spread_by=spread_by)

@@ -55,10 +55,13 @@ def fit_vocabulary(df: DataFrame, text_col: str = "review_text", **limits) -> Da
 
 
 def bow_counts(df: DataFrame, vocabulary: DataFrame, text_col: str = "review_text", row_id: str = "row_id",
-               kind: str = "words2") -> DataFrame:
-    """(row_id, term, idx, n) for the vocabulary's terms; the vocabulary is a top-k, hence small."""
+               kind: str = "words2", bounded: bool | None = None) -> DataFrame:
+    """(row_id, term, idx, n) for the vocabulary's terms.
+
+    The vocabulary's size is checked, so pass one from `fit_vocabulary`.
+    """
     tokens = df.select(row_id, F.explode(_text_tokens(text_col, kind)).alias("term"))
-    return (tokens.join(F.broadcast(vocabulary.select("term", "idx")), "term")
+    return (lookup(tokens, vocabulary.select("term", "idx"), ["term"], "inner", spread_by=row_id, bounded=bounded)
             .groupBy(row_id, "term", "idx").agg(F.count(F.lit(1)).alias("n")))
 
 

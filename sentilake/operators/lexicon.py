@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from sentilake.functions import wordlists as WL
 from sentilake.functions.text import label_by_limit, let, one_of, tokenize
-from sentilake.operators.joins import lookup
+from sentilake.operators.joins import class_map, lookup
 
 # --- fixed value: tokens a negator reaches ---
 NEGATION_REACH = 3
@@ -165,18 +165,18 @@ def lexicon_scores_joined(df: DataFrame, lexicon_table: DataFrame, text_col: str
 
 
 def top_matched_words(scores: DataFrame, n: int = 15) -> DataFrame:
-    """Most frequent matched words per side: (side, word, count)."""
-    def side(name: str, col: str) -> DataFrame:
-        words = scores.select(F.explode(F.split(col, ", ")).alias("word")).where(F.col("word") != "")
-        return (words.groupBy("word").agg(F.count(F.lit(1)).alias("count"))
-                .orderBy(F.desc("count"), "word").limit(n)
-                .select(F.lit(name).alias("side"), "word", "count"))
-    return side("positive", "pos_words_found").unionByName(side("negative", "neg_words_found"))
+    """Most frequent matched words per side: (side, word, count), both sides in one pass."""
+    sides = F.array(*[F.struct(F.lit(s).alias("side"), F.col(c).alias("words")) for s, c in (
+        ("positive", "pos_words_found"), ("negative", "neg_words_found"))])
+    words = scores.select(F.inline(sides)).select("side", F.explode(F.split("words", ", ")).alias("word"))
+    counts = words.where(F.col("word") != "").groupBy("side", "word").agg(F.count(F.lit(1)).alias("count"))
+    # One row per lexicon word at most.
+    place = F.row_number().over(Window.partitionBy("side").orderBy(F.desc("count"), "word"))
+    return counts.withColumn("_k", place).where(F.col("_k") <= n).drop("_k")
 
 
 def score_histogram(df: DataFrame, label: str, score: str = "raw_score", bins: int = 20) -> DataFrame:
     """Equal-width bins between each label's own minimum and maximum: (label, bin, count)."""
-    from sentilake.operators.joins import class_map
     counts = df.groupBy(label, score).agg(F.count(F.lit(1)).alias("n"))
     ends = counts.groupBy(label).agg(F.min(score).alias("lo"), F.max(score).alias("hi"))
     at = class_map(ends, label, "lo", "hi")[F.col(label)]

@@ -92,8 +92,8 @@ def stratified_folds(df: DataFrame, label: str, k: int = 5, seed: int = 42,
     keyed = keyed.withColumn("_b", F.substring("_h", 1, HASH_PREFIX))
     histogram = keyed.groupBy(label, "_b").agg(F.count(F.lit(1)).alias("n"))
     offset = F.sum("n").over(Window.partitionBy(label).orderBy("_b")) - F.col("n")
-    # 65,536 rows per label at most.
-    offsets = F.broadcast(histogram.select(label, "_b", offset.alias("_o")))
+    # Joined on the keys the ranking window needs, so rows move once.
+    offsets = histogram.select(label, "_b", offset.alias("_o"))
     rank = F.row_number().over(Window.partitionBy(label, "_b").orderBy("_h", row_id)) - 1
     return (keyed.join(offsets, [label, "_b"])
             .withColumn(name, F.pmod(F.col("_o") + rank, F.lit(k)).cast("int"))

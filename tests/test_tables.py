@@ -190,3 +190,24 @@ def test_tiny_class_is_never_lost(spark):
     rows = spark.createDataFrame([(i, "a" if i else "b") for i in range(6)], "row_id bigint, y string")
     got = sampling.stratified_split(rows, "y").collect()
     assert len(got) == 6 and sum(r["split"] == "test" for r in got) == 2
+
+
+def test_hot_keys_join_whole_either_way(spark):
+    """One key holds a third of the rows; broadcast and salted joins give the same rows."""
+    from sentilake.operators.joins import lookup, salted_lookup
+    rows = spark.range(3000).select(F.col("id").alias("row_id"),
+                                    F.when(F.col("id") % 3 == 0, "hot").otherwise(F.col("id").cast("string")).alias("token"))
+    table = spark.createDataFrame([("hot", 1), ("4", 2)], "token string, v int")
+    for how in ("left", "inner", "left_semi"):
+        a = sorted(lookup(rows, table, ["token"], how).collect())
+        b = sorted(lookup(rows, table, ["token"], how, bounded=False).collect())
+        assert a == b and len(a) == (3000 if how == "left" else 1001)
+    with pytest.raises(ValueError):
+        salted_lookup(rows, table, ["token"], "right")
+
+
+def test_game_details_replace_shared_columns(spark):
+    rows = spark.createDataFrame([(0, 7, "old"), (1, 9, "old")], "row_id bigint, app_id bigint, owners string")
+    games = spark.createDataFrame([(7, "new")], "app_id bigint, owners string")
+    got = columns.attach_game_details(rows, games).orderBy("row_id").collect()
+    assert [(r["app_id"], r["owners"]) for r in got] == [(7, "new"), (9, None)]
