@@ -23,22 +23,23 @@ SHORT_KEY_SALTS = 16
 DISTANCE_STEP = 1 << 60
 
 
-def _drop_one(word: Column) -> Column:
-    return F.when(F.length(word) > 0, F.transform(
-        F.sequence(F.lit(1), F.length(word)),
-        lambda i: F.concat(F.substring(word, F.lit(1), i - 1), F.substring(word, i + 1, F.length(word))))) \
-        .otherwise(F.array().cast("array<string>"))
+def _drop_one(word: Column, first: Column) -> Column:
+    """The word without one character, for every position from `first` on."""
+    without = F.transform(
+        F.sequence(first, F.length(word)),
+        lambda i: F.concat(F.substring(word, F.lit(1), i - 1), F.substring(word, i + 1, F.length(word))))
+    return F.when(F.length(word) >= first, without).otherwise(F.array().cast("array<string>"))
 
 
 def deletion_keys(word: Column, edits: int) -> Column:
     """The word and all strings made by up to `edits` deletions, without repeats."""
     def widen(level1: Column) -> Column:
-        own = F.array(word)
         if edits == 1:
-            return F.array_distinct(F.concat(own, level1))
-        level2 = F.flatten(F.transform(F.array_distinct(level1), _drop_one))
-        return F.array_distinct(F.concat(own, level1, level2))
-    return let(_drop_one(word), widen)
+            return F.array_distinct(F.concat(F.array(word), level1))
+        # A second deletion at or after the first one meets every pair of positions once.
+        level2 = F.flatten(F.transform(level1, lambda w, i: _drop_one(w, i + 1)))
+        return F.array_distinct(F.concat(F.array(word), level1, level2))
+    return let(_drop_one(word, F.lit(1)), widen)
 
 
 def _salts(key: Column) -> Column:
