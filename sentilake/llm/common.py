@@ -1,6 +1,7 @@
 """Shared helpers of the training-data operators."""
 from __future__ import annotations
 
+import os
 import tempfile
 import uuid
 
@@ -31,6 +32,18 @@ def stash(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def importable(spark: SparkSession) -> SparkSession:
+    """Let Python workers import this package from where the driver has it.
+
+    On a cluster whose machines do not share that path, the package goes along as --py-files.
+    """
+    root = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+    known = spark.sparkContext.environment.get("PYTHONPATH", "")
+    if root not in known.split(os.pathsep):
+        spark.sparkContext.environment["PYTHONPATH"] = os.pathsep.join(filter(None, [root, known]))
+    return spark
+
+
 def fold(doc_id: str, folds: int) -> Column:
     """crc32 of the id as text, modulo the number of folds; a null id counts as empty text."""
     return F.pmod(F.crc32(F.coalesce(F.col(doc_id).cast("string"), F.lit("")).cast("binary")), F.lit(folds))

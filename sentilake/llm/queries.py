@@ -48,3 +48,28 @@ def op10_secret_scan(spark: SparkSession, sf: str) -> DataFrame:
     from sentilake.llm.secret_scan import scan_secrets
     return scan_secrets(table(spark, sf, "documents")).select(
         "doc_id", "n_assign", "n_access", "n_hex", "base_sha256", "spans", "n_linked")
+
+
+@query
+def op1_language_id(spark: SparkSession, sf: str) -> DataFrame:
+    from sentilake.llm.common import fold
+    from sentilake.llm.language_id import fit_languages, identify_languages
+    docs = table(spark, sf, "documents")
+    model = fit_languages(docs.where(fold("doc_id", 3) != 1).select("text", "lang"))
+    return identify_languages(docs, model).select(
+        "doc_id", (fold("doc_id", 3) == 1).alias("held_out"), "lang_pred", "score")
+
+
+@query
+def op6_token_files(spark: SparkSession, sf: str) -> DataFrame:
+    from sentilake.llm.common import work_path
+    from sentilake.llm.token_files import read_token_files, token_digest, write_token_files
+    path = work_path(spark, "tokens")
+    write_token_files(table(spark, sf, "documents"), path)
+    return token_digest(read_token_files(spark, path))
+
+
+@query
+def op7_decontamination(spark: SparkSession, sf: str) -> DataFrame:
+    from sentilake.llm.decontamination import find_leaks
+    return find_leaks(table(spark, sf, "documents"), table(spark, sf, "benchmark"))
