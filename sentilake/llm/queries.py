@@ -73,3 +73,10 @@ def op6_token_files(spark: SparkSession, sf: str) -> DataFrame:
 def op7_decontamination(spark: SparkSession, sf: str) -> DataFrame:
     from sentilake.llm.decontamination import find_leaks
     return find_leaks(table(spark, sf, "documents"), table(spark, sf, "benchmark"))
+
+
+@query
+def op5_near_duplicates(spark: SparkSession, sf: str) -> DataFrame:
+    from sentilake.llm.near_duplicates import near_duplicate_classes
+    return near_duplicate_classes(table(spark, sf, "documents")).select(
+        "doc_id", "class_id", "text_id", "n_links", "copies")
