@@ -80,3 +80,12 @@ def op5_near_duplicates(spark: SparkSession, sf: str) -> DataFrame:
     from sentilake.llm.near_duplicates import near_duplicate_classes
     return near_duplicate_classes(table(spark, sf, "documents")).select(
         "doc_id", "class_id", "text_id", "n_links", "copies")
+
+
+@query
+def op3_toxicity(spark: SparkSession, sf: str) -> DataFrame:
+    from sentilake.llm.common import fold
+    from sentilake.llm.toxicity import fit_toxicity, labelled_texts, score_toxicity
+    docs = table(spark, sf, "documents")
+    model = fit_toxicity(labelled_texts(docs, table(spark, sf, "labels").where(fold("doc_id", 5) != 0)))
+    return score_toxicity(docs, model).select("doc_id", (fold("doc_id", 5) == 0).alias("held_out"), "score", "predicted")
