@@ -89,3 +89,9 @@ def op3_toxicity(spark: SparkSession, sf: str) -> DataFrame:
     docs = table(spark, sf, "documents")
     model = fit_toxicity(labelled_texts(docs, table(spark, sf, "labels").where(fold("doc_id", 5) != 0)))
     return score_toxicity(docs, model).select("doc_id", (fold("doc_id", 5) == 0).alias("held_out"), "score", "predicted")
+
+
+@query
+def op4_personal_data(spark: SparkSession, sf: str) -> DataFrame:
+    from sentilake.llm.pii import find_personal_data
+    return find_personal_data(table(spark, sf, "documents"))
