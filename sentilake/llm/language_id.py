@@ -226,6 +226,8 @@ _SCORES: dict[int, np.ndarray] = {}
 
 def predict_texts(texts: list[str | None], model: Model, key: int = 0) -> tuple[list[str], np.ndarray]:
     """Language and posterior of whole texts; distinct words are scored once per worker."""
+    if not model.langs:
+        return ["und"] * len(texts), np.zeros(len(texts))
     ids = _CACHE.setdefault(key, {})
     table = _SCORES.get(key, np.zeros((0, len(model.langs))))
     if len(ids) > MAX_CACHED:
@@ -240,7 +242,7 @@ def predict_texts(texts: list[str | None], model: Model, key: int = 0) -> tuple[
     _SCORES[key] = table
     names, best = [], np.zeros(len(texts))
     for k, words in enumerate(split):
-        if not words or not model.langs:
+        if not words:
             names.append("und")
             continue
         total = table[[ids[w] for w in words]].sum(axis=0)
