@@ -14,7 +14,7 @@ SHARD_SLOTS = 65_536
 GRID = 4096
 ROUNDS = 6
 WALKS = 24
-DOCS_PER_BUCKET = 2000
+DOCS_PER_BUCKET = 500
 
 
 def word_count(text: Column) -> Column:
