@@ -15,6 +15,7 @@ from sentilake.llm.shingles import (BAND_ROWS, BANDS, BUCKET_BITS, FINE_BANDS, F
 
 SIMILARITY = 0.8
 SMALL_BUCKET = 8
+MEDIUM_BUCKET = 64
 TEXTS_PER_STEP = 128
 
 
@@ -119,12 +120,25 @@ def candidate_pairs(buckets: DataFrame) -> DataFrame:
         F.max(F.struct("degree", "node")).alias("hub")).select("key", F.col("hub.node").alias("hub")), "near-hubs")
     star = large.join(hubs, "key").where("node <> hub").select(
         F.least("node", "hub").alias("a"), F.greatest("node", "hub").alias("b"))
+    small = buckets.where(F.col("n") <= SMALL_BUCKET).withColumn("root", F.col("node"))
+    return star.unionByName(pairs_across(small)).distinct()
+
+
+def pairs_across(members: DataFrame) -> DataFrame:
+    """Pairs of nodes of one bucket with different roots, for buckets of bounded size (key, node, root)."""
     nodes = F.col("nodes")
-    small = (buckets.where(F.col("n") <= SMALL_BUCKET).groupBy("key").agg(F.sort_array(F.collect_list("node")).alias("nodes"))
-             .select(F.explode(F.flatten(F.transform(nodes, lambda x, i: F.transform(
-                 F.slice(nodes, i + 2, F.size(nodes)), lambda y: F.struct(x.alias("a"), y.alias("b")))))).alias("p"))
-             .select("p.a", "p.b"))
-    return star.unionByName(small).distinct()
+    return (members.groupBy("key").agg(F.sort_array(F.collect_list(F.struct("node", "root"))).alias("nodes"))
+            .select(F.explode(F.flatten(F.transform(nodes, lambda x, i: F.transform(
+                F.filter(F.slice(nodes, i + 2, F.size(nodes)), lambda y: y["root"] != x["root"]),
+                lambda y: F.struct(x["node"].alias("a"), y["node"].alias("b")))))).alias("p"))
+            .select("p.a", "p.b"))
+
+
+def left_pairs(buckets: DataFrame, roots: DataFrame, tested: DataFrame) -> DataFrame:
+    """Pairs that a hub left apart: in buckets of medium size, all untested ones across components."""
+    medium = buckets.where((F.col("n") > SMALL_BUCKET) & (F.col("n") <= MEDIUM_BUCKET))
+    known = medium.join(roots, "node", "left").select("key", "node", F.coalesce("root", "node").alias("root"))
+    return pairs_across(known).distinct().join(tested, ["a", "b"], "left_anti")
 
 
 def verified_links(pairs: DataFrame, packed: DataFrame, idf: np.ndarray, similarity: float) -> DataFrame:
@@ -169,7 +183,9 @@ def near_duplicate_classes(documents: DataFrame, similarity: float = SIMILARITY)
     Shingles of five words (lower-case runs of letters and digits) weigh their count in the text
     times a damped inverse document frequency, counted over all documents in hash buckets. 30
     consistent weighted samples in 10 bands of 3 give candidates; nodes in crowded buckets are
-    banded again by 16 bands of 10. Candidates are verified by their weighted Jaccard
+    banded again by 16 bands of 10. A bucket of up to 64 nodes is compared as a whole, first by
+    its hub and then across the components that this leaves; a larger one by its hub and by its
+    nodes' longer bands, so no group is ever compared pair by pair. Candidates are verified by their weighted Jaccard
     similarity, and links are closed to connected components.
 
     Equal texts are one node from the start, so a group of copies of any size costs one
@@ -191,6 +207,8 @@ def near_duplicate_classes(documents: DataFrame, similarity: float = SIMILARITY)
     fine = bucket_members(fine_keys(packed.join(crowded, "node", "left_semi"), idf))
     pairs = stash(candidate_pairs(buckets).unionByName(candidate_pairs(fine)).distinct(), "near-pairs")
     links = stash(verified_links(pairs, packed, idf, similarity), "near-links")
+    rest = left_pairs(buckets.unionByName(fine), components(links), pairs)
+    links = stash(links.unionByName(verified_links(rest, packed, idf, similarity)), "near-links")
     roots = components(links)
     degrees = (links.select(F.col("a").alias("node")).unionByName(links.select(F.col("b").alias("node")))
                .groupBy("node").agg(F.count(F.lit(1)).alias("n_links")))
