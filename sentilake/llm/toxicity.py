@@ -53,14 +53,21 @@ class Compressors:
             known.precompute_compress(compression_params=form)
             made.append(zstandard.ZstdCompressor(dict_data=known, compression_params=form))
         self.ordinary, self.toxic = made[0], made[1:]
+        # The least match has four bytes, so only a dictionary that shares four with a window can shorten it.
+        self.sharing: dict[bytes, set[int]] = {}
+        for k, content in enumerate(toxic):
+            for at in range(len(content) - LEAST_MATCH + 1):
+                self.sharing.setdefault(content[at:at + LEAST_MATCH], set()).add(k)
         self.gains: dict[str, int] = {}
 
     def gain(self, window: str) -> int:
         """Bytes by which the best toxic dictionary makes a window shorter than the ordinary one."""
         found = self.gains.get(window)
         if found is None:
-            data = as_bytes(window)
-            found = len(self.ordinary.compress(data)) - min((len(c.compress(data)) for c in self.toxic), default=len(data) * 2)
+            data, sharing = as_bytes(window), self.sharing
+            able = set().union(*[sharing.get(data[at:at + LEAST_MATCH], ())
+                                 for at in range(len(CARRIER), len(data) - LEAST_MATCH + 1)])
+            found = len(self.ordinary.compress(data)) - min(len(self.toxic[k].compress(data)) for k in able) if able else 0
             if len(self.gains) > MAX_CACHED:
                 self.gains.clear()
             self.gains[window] = found
