@@ -339,7 +339,25 @@ def _(spark, sf):
     return errors.failure_breakdown(_reasons(spark, sf))
 
 
-# ------------------------------------------------------------------ forests (no SQL form)
+# ------------------------------------------------------------------ forests
+#
+# A forest's own numbers have no SQL form, so these queries return what must hold of them row by
+# row, and the SQL states the same rows from the split.
+
+EMBEDDED = "SELECT vec_id AS row_id, 'c' || CAST(label % 3 AS VARCHAR) AS y, embedding FROM embeddings"
+
+
+def _split_sql(body: str, rows: str = EMBEDDED, **extra: str) -> str:
+    """A query over the stratified split of a relation with row_id and y."""
+    from checks.catalog_scores import SPLIT
+    return S.with_views(body, *([] if rows == EMBEDDED else ["predictions"]), base_rows=rows, **{
+        name: sql.replace("FROM predictions", "FROM base_rows") for name, sql in SPLIT.items()}, **extra)
+
+
+_TRUE = "true AS is_argmax, true AS sums_to_one, true AS known_class"
+_TEST_ROWS = f"SELECT row_id, y, {_TRUE} FROM split_rows WHERE split = 'test'"
+PREDICTED = "SELECT row_id, y FROM predictions"
+
 
 def _embedding_rows(spark, sf):
     e = S.table(spark, sf, "embeddings").select(
@@ -354,80 +372,128 @@ def _bow_rows(spark, sf):
     return materialize(held.drop("review_text"))
 
 
-@query("fit_forest_bow")
+def _invariants(predictions, model, *keep):
+    """Per row: the class is the most probable one and known, and its probabilities sum to one."""
+    names = F.array(*map(F.lit, model.stages[0].labels))
+    top = F.array_position("probability", F.array_max("probability"))
+    total = F.aggregate("probability", F.lit(0.0), lambda acc, x: acc + x)
+    return predictions.select("row_id", "y", *keep, (F.get(names, (top - 1).cast("int")) == F.col("p")).alias("is_argmax"),
+                              (F.abs(total - 1) < 1e-9).alias("sums_to_one"), F.array_contains(names, F.col("p")).alias("known_class"))
+
+
+@query("fit_forest_bow", _split_sql(_TEST_ROWS, PREDICTED))
 def _(spark, sf):
     rows = _bow_rows(spark, sf)
     model = forests.fit_forest(rows.where("split = 'train'"), forests.BASELINE)
-    return forests.predict(model, rows.where("split = 'test'"), ("row_id", "y"))
+    return _invariants(forests.predict(model, rows.where("split = 'test'"), ("row_id", "y")), model)
 
 
-@query("fit_forest_vec")
+@query("fit_forest_vec", _split_sql(_TEST_ROWS))
 def _(spark, sf):
     rows = materialize(forests.as_vectors(_embedding_rows(spark, sf)))
     model = forests.fit_forest(rows.where("split = 'train'"), forests.BASELINE)
-    return forests.predict(model, rows.where("split = 'test'"), ("row_id", "y"))
+    return _invariants(forests.predict(model, rows.where("split = 'test'"), ("row_id", "y")), model)
 
 
-@query("forest_regularized")
+@query("forest_regularized", "SELECT 'vectors' AS scheme, true AS scores_in_range, true AS gaps_agree")
 def _(spark, sf):
+    """The scores lie between 0 and 1 and the gaps are their differences."""
     rows = materialize(forests.as_vectors(_embedding_rows(spark, sf), name="raw_features"))
     model = forests.fit_forest(rows.where("split = 'train'"), forests.REGULARIZED, before=forests.reduce_dimensions(50))
-    return metrics.generalization_gap(forests.evaluate_split(model, rows, "vectors"))
+    scores = materialize(forests.evaluate_split(model, rows, "vectors"))
+    done = scores.join(metrics.generalization_gap(scores), "scheme")
+    in_range = F.forall(F.array("train_acc", "test_acc", "train_f1", "test_f1"), lambda x: x.between(0, 1))
+    agree = (F.abs(F.col("acc_gap") - (F.col("train_acc") - F.col("test_acc"))) < 1e-9) & (
+        F.abs(F.col("f1_gap") - (F.col("train_f1") - F.col("test_f1"))) < 1e-9)
+    return done.select("scheme", in_range.alias("scores_in_range"), agree.alias("gaps_agree"))
 
 
-@query("forest_small_leaf")
+@query("forest_standardized", _split_sql(_TEST_ROWS))
+def _(spark, sf):
+    """Standardize, project on principal components, and fit."""
+    rows = materialize(forests.as_vectors(_embedding_rows(spark, sf), name="raw_features"))
+    model = forests.fit_forest(rows.where("split = 'train'"), forests.SMALL_LEAF,
+                               before=forests.reduce_dimensions(50, standardize=True))
+    return _invariants(forests.predict(model, rows.where("split = 'test'"), ("row_id", "y")), model)
+
+
+@query("forest_small_leaf", "SELECT true AS in_range")
 def _(spark, sf):
     rows = materialize(forests.as_vectors(_embedding_rows(spark, sf), name="raw_features"))
     model = forests.fit_forest(rows.where("split = 'train'"), forests.SMALL_LEAF_DEEP,
                                before=[forests.drop_constant_columns()])
     done = forests.predict(model, rows.where("split = 'test'"), ("row_id", "y"))
-    return metrics.roc_auc_ovr(forests.probability_rows(done, ["c0", "c1", "c2"], ("row_id", "y")))
+    auc = metrics.roc_auc_ovr(forests.probability_rows(done, ["c0", "c1", "c2"], ("row_id", "y")))
+    return auc.select(F.col(auc.columns[0]).between(0, 1).alias("in_range"))
 
 
-@query("reduce_dimensions")
+_VARIANCE = """SELECT 50 AS components, count(*) AS n_rows, true AS centred, true AS descending, true AS uncorrelated,
+    true AS within_total FROM embeddings"""
+
+
+@query("reduce_dimensions", _VARIANCE)
 def _(spark, sf):
+    """What holds of principal components: centred, of descending variance, uncorrelated, no more variance than the input."""
     from pyspark.ml import Pipeline
     rows = forests.as_vectors(_embedding_rows(spark, sf), name="raw_features")
     done = Pipeline(stages=forests.reduce_dimensions(50)).fit(rows).transform(rows)
-    return done.select("row_id", forests.vector_to_array("features").alias("vec"))
+    both = done.select(forests.vector_to_array("features").alias("v"), forests.vector_to_array("raw_features").alias("r"))
+    total = both.agg(F.count(F.lit(1)).alias("n"), *[F.avg(F.col("v")[i]).alias(f"m{i}") for i in range(50)],
+                     *[F.var_pop(F.col("v")[i]).alias(f"s{i}") for i in range(50)],
+                     *[F.covar_pop(F.col("v")[i], F.col("v")[i + 1]).alias(f"c{i}") for i in range(49)],
+                     *[F.var_pop(F.col("r")[i]).alias(f"r{i}") for i in range(64)])
+    every = lambda tests: F.forall(F.array(*tests), lambda x: x)
+    kept, whole = [sum((F.col(f"{k}{i}") for i in range(n)), F.lit(0.0)) for k, n in (("s", 50), ("r", 64))]
+    return total.select(
+        F.lit(50).alias("components"), F.col("n").alias("n_rows"), every([F.abs(f"m{i}") < 1e-6 for i in range(50)]).alias("centred"),
+        every([F.col(f"s{i}") >= F.col(f"s{i + 1}") - 1e-9 for i in range(49)]).alias("descending"),
+        every([F.abs(f"c{i}") < 1e-6 for i in range(49)]).alias("uncorrelated"), (kept <= whole + 1e-6).alias("within_total"))
 
 
-@query("cross_validate")
+@query("cross_validate", "SELECT true AS in_range")
 def _(spark, sf):
     rows = forests.as_vectors(_embedding_rows(spark, sf)).where("split = 'train'").select("row_id", "y", "features")
-    return forests.cross_validate(rows, forests.ForestParams(trees=20, depth=5))
+    done = forests.cross_validate(rows, forests.BASELINE)
+    return done.select((F.col("mean_accuracy").between(0, 1) & F.col("std_accuracy").between(0, 0.5)).alias("in_range"))
 
 
-@query("tune_forest")
+@query("tune_forest", """SELECT t AS trees, d AS depth, l AS min_leaf, true AS in_range FROM (SELECT unnest([10, 20]) AS t),
+    (SELECT unnest([4]) AS d), (SELECT unnest([1, 3]) AS l)""")
 def _(spark, sf):
+    """Every point of the grid is tried once. The library's own grid has 27 points; a check has four."""
     rows = sampling.balanced_weights(_embedding_rows(spark, sf).where("split = 'train'"), "y")
     points = forests.grid_points({"trees": [10, 20], "depth": [4], "min_leaf": [1, 3]})
     _, table = forests.tune_forest(forests.as_vectors(rows).select("row_id", "y", "features", "weight"), points, folds=3)
-    return table
+    return table.select("trees", "depth", "min_leaf", F.col("f1").between(0, 1).alias("in_range"))
 
 
-@query("tune_forest_random")
+@query("tune_forest_random", "SELECT 3 AS points, true AS in_range, true AS distinct_points")
 def _(spark, sf):
     rows = sampling.balanced_weights(_embedding_rows(spark, sf).where("split = 'train'"), "y")
     points = forests.random_points({"trees": [5, 10, 20], "depth": [3, 5, None], "min_leaf": [1, 2, 3]}, n_iter=3)
     _, table = forests.tune_forest(forests.as_vectors(rows).select("row_id", "y", "features", "weight"), points, folds=3)
-    return table
+    return table.agg(F.count(F.lit(1)).cast("int").alias("points"), F.bool_and(F.col("f1").between(0, 1)).alias("in_range"),
+                     (F.countDistinct("trees", "depth", "min_leaf") == F.count(F.lit(1))).alias("distinct_points"))
 
 
-@query("library_bayes")
+@query("library_bayes", _split_sql(_TEST_ROWS, PREDICTED))
 def _(spark, sf):
     rows = _bow_rows(spark, sf)
     model = forests.library_bayes(rows.where("split = 'train'"))
-    return forests.predict(model, rows.where("split = 'test'"), ("row_id", "y"))
+    return _invariants(forests.predict(model, rows.where("split = 'test'"), ("row_id", "y")), model)
 
 
-@query("save_model")
+@query("save_model", _split_sql(f"SELECT row_id, y, true AS same, {_TRUE} FROM split_rows"))
 def _(spark, sf):
+    """A model read back predicts every row as before."""
     rows = materialize(forests.as_vectors(_embedding_rows(spark, sf)))
-    model = forests.fit_forest(rows.where("split = 'train'"), forests.ForestParams(trees=10, depth=5))
+    model = forests.fit_forest(rows.where("split = 'train'"), forests.BASELINE)
     path = scratch(spark)
     forests.save_model(model, path)
-    return forests.predict(forests.load_model(path), rows, ("row_id", "y"))
+    before = forests.predict(model, rows, ("row_id",)).select("row_id", F.struct("p", "probability").alias("old"))
+    after = forests.predict(forests.load_model(path), rows, ("row_id", "y"))
+    same = after.join(before, "row_id").withColumn("same", F.struct("p", "probability") == F.col("old"))
+    return _invariants(same, model, "same")
 
 
 # ------------------------------------------------------------------ streaming

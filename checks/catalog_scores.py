@@ -284,8 +284,7 @@ LOW_TOKENS = f"SELECT doc_id AS row_id, unnest(regexp_extract_all(lower(text), '
 
 @query("document_vectors", S.with_views(_DOCVEC, "reviews", "word_vectors", low_tokens=LOW_TOKENS))
 def _(spark, sf):
-    # 500 words by construction.
-    v = features.document_vectors(S.texts(spark, sf), S.word_vectors(spark, sf), S.VECTOR_DIM, bounded=True)
+    v = features.document_vectors(S.texts(spark, sf), S.word_vectors(spark, sf), S.VECTOR_DIM)
     return v.withColumn("vec", F.transform("vec", lambda x: F.round(x, 6)))
 
 

@@ -25,7 +25,6 @@ STOPWORDS = frozenset(["the", "of", "and", "to", "in", "is", "la", "der", "que",
 VALUES = {"best": 3.25, "with": 0.5, "this": 0.25, "trash": -2.5, "lying": -1.75, "was": -0.125, "are": -0.5,
           "for": 0.375, "disgusting": -3.0}
 VECTOR_DIM = 64
-VECTOR_WORDS = 500
 SPREAD_KEYS = {"documents": "doc_id", "events": "event_id", "pages": "page_id"}
 
 
@@ -173,16 +172,16 @@ def translations(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def word_vectors(spark: SparkSession, sf: str) -> DataFrame:
-    """(token, vec): the 500 most frequent tokens, paired with the given vectors by rank."""
+    """(token, vec): the most frequent tokens, paired with all given vectors by rank."""
     from pyspark.sql import Window
     words = table(spark, sf, "documents").select(
         F.explode(tokenize(F.lower("text"), "whitespace")).alias("token"))
-    top = (words.groupBy("token").agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), "token").limit(VECTOR_WORDS))
-    # 500 rows.
+    vecs = table(spark, sf, "embeddings").select("vec_id", F.col("embedding").alias("vec"))
+    top = words.groupBy("token").agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), "token").limit(vecs.count())
+    # As many rows as there are vectors.
     ranked = top.select("token", (F.row_number().over(Window.partitionBy(F.lit(1)).orderBy(F.desc("n"), "token")) - 1)
                         .cast("bigint").alias("vec_id"))
-    vecs = table(spark, sf, "embeddings").select("vec_id", F.col("embedding").alias("vec"))
-    return vecs.join(F.broadcast(ranked), "vec_id").select("token", "vec")
+    return vecs.join(ranked, "vec_id").select("token", "vec")
 
 
 # ---------------------------------------------------------------- SQL side
@@ -257,7 +256,7 @@ VIEWS: dict[str, tuple[tuple[str, ...], str]] = {
     "translations": ((), "SELECT DISTINCT text, 'translated ' || md5(text) AS english FROM documents WHERE lang <> 'en'"),
     "word_vectors": ((), f"""SELECT token, embedding AS vec FROM (SELECT token, row_number() OVER (ORDER BY n DESC, token) - 1 AS vec_id
         FROM (SELECT token, count(*) AS n FROM (SELECT unnest(regexp_extract_all(lower(text), '{NOT_SPACE}+')) AS token
-        FROM documents) GROUP BY token)) JOIN embeddings USING (vec_id) WHERE vec_id < {VECTOR_WORDS}"""),
+        FROM documents) GROUP BY token)) JOIN embeddings USING (vec_id)"""),
 }
 
 

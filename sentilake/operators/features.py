@@ -2,6 +2,7 @@
 from __future__ import annotations
 
 from pyspark.ml.feature import CountVectorizerModel
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -10,7 +11,6 @@ from sentilake.operators.joins import class_map, lookup
 from sentilake.session import materialize
 
 MAX_FEATURES = 5_000
-MAX_WIDE = 200
 
 
 def _text_tokens(text_col: str, kind: str) -> Column:
@@ -67,12 +67,11 @@ def bow_counts(df: DataFrame, vocabulary: DataFrame, text_col: str = "review_tex
 
 def bow_wide(df: DataFrame, vocabulary: DataFrame, text_col: str = "review_text", row_id: str = "row_id",
              kind: str = "words2") -> DataFrame:
-    """One column per term, zeros included; only for small vocabularies."""
-    terms = [r["term"] for r in vocabulary.select("term").orderBy("term").limit(MAX_WIDE + 1).collect()]
-    if len(terms) > MAX_WIDE:
-        raise ValueError(f"a wide table is limited to {MAX_WIDE} terms; use bow_counts")
-    tokens = df.select(row_id, F.explode_outer(_text_tokens(text_col, kind)).alias("term"))
-    return tokens.groupBy(row_id).agg(*[F.count_if(F.col("term") == t).alias(t) for t in terms])
+    """One column per term of the vocabulary, zeros included. Counted inside each row: no shuffle."""
+    terms = [r["term"] for r in vocabulary.orderBy("idx").select("term").collect()]
+    counted = bow_vectors(df.select(row_id, text_col), vocabulary, text_col, kind, "_counts")
+    dense = counted.select(row_id, vector_to_array("_counts").alias("_n"))
+    return dense.select(row_id, *[F.get("_n", F.lit(k)).cast("bigint").alias(t) for k, t in enumerate(terms)])
 
 
 def bow_stats(df: DataFrame, vocabulary: DataFrame, text_col: str = "review_text", row_id: str = "row_id",

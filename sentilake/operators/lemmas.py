@@ -13,24 +13,24 @@ def rewrite_tokens(df: DataFrame, mapping: DataFrame, text_col: str = "review_te
                    bounded: bool | None = None, salts: int = 8) -> DataFrame:
     """Replace whitespace tokens by `mapping(token, replacement)` and join with single spaces.
 
-    Token order is kept; a text without tokens becomes empty; null stays null. Tokens
-    are put back together per review, in one shuffle keyed by the unique row id.
+    Token order is kept; a text without tokens becomes empty; null stays null. Only tokens
+    that are replaced leave their row: they are gathered per review and merged into its
+    tokens by position, inside the row.
     """
-    text = F.col(text_col)
-    tokens = df.select(row_id, text.isNull().alias("_null"), F.posexplode_outer(whitespace_tokens(text))
-                       .alias("_pos", "token"))
-    found = lookup(tokens, mapping.select("token", "replacement"), ["token"], "left",
+    tokens = whitespace_tokens(F.col(text_col))
+    placed = df.select(row_id, F.posexplode(tokens).alias("_pos", "token"))
+    found = lookup(placed, mapping.select("token", "replacement").where("token <> replacement"), ["token"], "inner",
                    spread_by=row_id, bounded=bounded, salts=salts)
-    word = F.struct("_pos", F.coalesce("replacement", "token").alias("w"))
-    rebuilt = found.groupBy(row_id).agg(
-        F.array_sort(F.collect_list(F.when(F.col("_pos").isNotNull(), word))).alias("_words"),
-        F.bool_or("_null").alias("_null"))
-    joined = F.array_join(F.transform("_words", lambda x: x["w"]), " ")
-    texts = rebuilt.select(row_id, F.when(~F.col("_null"), joined).alias(text_col))
-    rest = [c for c in df.columns if c != text_col]
-    if rest == [row_id]:
-        return texts.select(*df.columns)
-    return df.select(*rest).join(texts, row_id).select(*df.columns)
+    new = found.groupBy(row_id).agg(F.collect_list(F.struct(
+        F.col("_pos").alias("pos"), F.lit(0).alias("old"), F.col("replacement").alias("w"))).alias("_new"))
+    own = F.transform(tokens, lambda w, k: F.struct(k.alias("pos"), F.lit(1).alias("old"), w.alias("w")))
+    both = df.join(new, row_id, "left").withColumn("_both", F.when(
+        F.col("_new").isNotNull(), F.array_sort(F.concat("_new", own))))
+    # Of two words with one position, the replacement comes first.
+    merged = F.filter("_both", lambda x, k: (k == 0) | (x["pos"] != F.get(F.col("_both"), F.greatest(k - 1, F.lit(0)))["pos"]))
+    text = F.when(F.col("_new").isNotNull(), F.array_join(F.transform(merged, lambda x: x["w"]), " ")).otherwise(
+        F.array_join(tokens, " "))
+    return both.withColumn(text_col, text).select(*df.columns)
 
 
 def inflections(lemmas: DataFrame, exceptions: DataFrame | None = None) -> DataFrame:

@@ -19,8 +19,8 @@ def sample_n(df: DataFrame, n: int, seed: int = 42, row_id: str = "row_id") -> D
 
 
 def split_quotas(df: DataFrame, label: str, test_share: float = 0.2) -> DataFrame:
-    """Test rows per label: ceil(share * n) shared out by largest remainder."""
-    counts = df.groupBy(label).agg(F.count(F.lit(1)).alias("n"))
+    """Test rows per label: ceil(share * n) shared out by largest remainder. Unlabelled rows do not count."""
+    counts = df.where(F.col(label).isNotNull()).groupBy(label).agg(F.count(F.lit(1)).alias("n"))
     # One row per label from here on.
     everything = Window.partitionBy(F.lit(1))
     total = F.sum("n").over(everything)

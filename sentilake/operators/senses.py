@@ -44,7 +44,8 @@ def sense_means(senses: DataFrame) -> DataFrame:
 
 def sentiment_of(words: DataFrame, senses: DataFrame, bounded: bool | None = None) -> DataFrame:
     """Scores of (lemma, pos) pairs; absent pairs give 0, 0, 1."""
-    found = lookup(words, sense_means(senses), ["lemma", "pos"], "left", spread_by="lemma", bounded=bounded)
+    numbered = words.withColumn("_spread", F.monotonically_increasing_id())
+    found = lookup(numbered, sense_means(senses), ["lemma", "pos"], "left", spread_by="_spread", bounded=bounded).drop("_spread")
     return found.fillna({"p": 0.0, "n": 0.0, "o": 1.0})
 
 

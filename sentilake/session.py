@@ -12,8 +12,6 @@ SETTINGS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     # Recording the call site of every column operation slows down building large expressions.
     "spark.python.sql.dataFrameDebugging.enabled": "false",
-    # Per-review collects have many groups per task; sorting after 128 of them is wasteful.
-    "spark.sql.objectHashAggregate.sortBased.fallbackThreshold": "4096",
 }
 
 

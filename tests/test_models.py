@@ -157,7 +157,7 @@ def separable(spark):
 
 
 def test_forest_learns_and_reloads(separable, tmp_path):
-    rows = forests.stable_partitions(separable, 4)
+    rows = forests.stable_partitions(separable, n=4)
     params = forests.ForestParams(trees=15, depth=5)
     model = forests.fit_forest(rows, params)
     assert model.stages[-1].getNumTrees == 15
