@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 WORD = r"[^\x20\x09-\x0D]+"
+SMALL_GROUPS = 1000
 
 
 def work_path(spark: SparkSession, name: str) -> str:
@@ -53,8 +54,11 @@ def bounded_sample(rows: DataFrame, group: str, key: str, per_group: int, seed:
     """About `per_group` rows of each group, chosen by the hash of a key column.
 
     The counts read the group and key columns only. Everything is kept of a group that
-    has fewer rows. The expected size is the bound; the draw is the same on every run.
+    has fewer rows. The expected size is the bound; the draw is the same on every run. Up to
+    `SMALL_GROUPS` counts are sent to all executors, so the rows are filtered where they are.
     """
-    counts = rows.groupBy(F.col(group).alias("_g")).agg(F.count(F.lit(1)).alias("_n"))
+    counts = stash(rows.groupBy(F.col(group).alias("_g")).agg(F.count(F.lit(1)).alias("_n")), "group-counts")
+    small = counts.limit(SMALL_GROUPS + 1).count() <= SMALL_GROUPS
     u = F.pmod(F.xxhash64(F.lit(seed), F.col(key)), F.lit(1 << 30)) / F.lit(float(1 << 30))
-    return (rows.join(counts, F.col(group) == F.col("_g")).where(u * F.col("_n") < per_group).drop("_g", "_n"))
+    return (rows.join(F.broadcast(counts) if small else counts, F.col(group) == F.col("_g"))
+            .where(u * F.col("_n") < per_group).drop("_g", "_n"))
