@@ -40,7 +40,8 @@ def op8_mixing(spark: SparkSession, sf: str) -> DataFrame:
 @query
 def op9_quality_rules(spark: SparkSession, sf: str) -> DataFrame:
     from sentilake.llm.quality_rules import quality_verdicts
-    return quality_verdicts(table(spark, sf, "documents"))
+    return quality_verdicts(table(spark, sf, "documents")).withColumns(
+        {c: F.round(c, 6) for c in ("char_distance", "word_distance")})
 
 
 @query

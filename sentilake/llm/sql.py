@@ -1,4 +1,57 @@
 """DuckDB SQL of the training-data queries that SQL can express."""
 from __future__ import annotations
 
-ORACLE: dict[str, str] = {}
+from sentilake.llm import quality_rules as Q
+
+SPACES = r"[\x20\x09-\x0D]"
+CHARS = ("[a-z]+", "[A-Z]+", "[0-9]+", f"{SPACES}+", r"[.,;:!?''\"()-]+", r"[#*$%&|<>/\\@^_`{}~\[\]=+]+", r"[^\x00-\x7F]+")
+
+
+def _quality_rules() -> str:
+    """Word and character histograms as lists, references per language, and distances bin by bin."""
+    vocab = "[" + ", ".join(f"'{w}'" for w in Q.vocabulary()) + "]"
+    bins = ", ".join(f"CAST(strlen(t) - strlen(regexp_replace(t, '{p}', '', 'g')) AS DOUBLE)" for p in CHARS)
+
+    def distance(kind: str) -> str:
+        part = "CASE WHEN {0} > 0 THEN {0} * log2(2 * {0} / ({0} + {1})) ELSE 0 END"
+        return f"""SELECT rid, r.lang, sqrt(greatest(sum({part.format('p', 'q')} + {part.format('q', 'p')}) / 2, 0)) AS x
+            FROM (SELECT rid, unnest({kind}) AS p, generate_subscripts({kind}, 1) AS k FROM shared WHERE NOT base_failed) s
+            JOIN (SELECT lang, unnest({kind}) AS q, generate_subscripts({kind}, 1) AS k FROM refs) r USING (k) GROUP BY rid, r.lang"""
+
+    def share(kind: str) -> str:
+        total = f"list_sum({kind})"
+        return f"list_transform({kind}, lambda x: CASE WHEN {total} > 0 THEN x / {total} ELSE 0 END)"
+
+    def sums(kind: str) -> str:
+        return f"""SELECT lang, list(n ORDER BY k) AS {kind} FROM (SELECT lang, k, sum(round(x * 1000000)) AS n FROM (
+            SELECT lang, unnest({kind}) AS x, generate_subscripts({kind}, 1) AS k FROM shared WHERE NOT base_failed AND lang IS NOT NULL)
+            GROUP BY lang, k) GROUP BY lang"""
+
+    return f"""WITH docs AS (SELECT row_number() OVER () AS rid, doc_id, lang, coalesce(text, '') AS t FROM documents),
+    cut AS (SELECT *, regexp_extract_all(t, '[^\\x20\\x09-\\x0D]+') AS ws,
+        list_filter(string_split(t, chr(10)), lambda l: regexp_matches(l, '[^\\x20\\x09-\\x0D]')) AS lines FROM docs),
+    grams AS (SELECT rid, i, count(*) OVER (PARTITION BY rid, g) AS c FROM (SELECT rid, i, ws[i] || ' ' || ws[i + 1] || ' ' || ws[i + 2] AS g
+        FROM (SELECT rid, ws, unnest(range(1, len(ws) - 1)) AS i FROM cut))),
+    repeated AS (SELECT rid, count(DISTINCT i + o) AS n FROM grams, range(3) offsets(o) WHERE c > 1 GROUP BY rid),
+    counted AS (SELECT rid, doc_id, lang, CAST(len(ws) AS BIGINT) AS n_words,
+        CAST(coalesce(list_sum(list_transform(ws, lambda w: length(w))), 0) AS BIGINT) AS word_chars,
+        CAST(length(regexp_replace(t, '[^#*$%&|<>]', '', 'g')) AS BIGINT) AS n_symbols,
+        CAST(len(lines) - len(list_distinct(lines)) AS BIGINT) AS n_dup_lines, CAST(coalesce(n, 0) AS BIGINT) AS n_repeat_words,
+        [{bins}] AS chars, list_filter(list_transform(ws, lambda w: lower(w)), lambda w: list_contains({vocab}, w)) AS common
+        FROM cut LEFT JOIN repeated USING (rid)),
+    hist AS (SELECT * EXCLUDE (common), n_words < {Q.MIN_WORDS} OR 100 * n_repeat_words > 50 * n_words AS base_failed,
+        list_append(list_transform({vocab}, lambda v: CAST(len(list_filter(common, lambda w: w = v)) AS DOUBLE)),
+        CAST(n_words - len(common) AS DOUBLE)) AS words FROM counted),
+    shared AS (SELECT * REPLACE ({share('chars')} AS chars, {share('words')} AS words) FROM hist),
+    enough AS (SELECT lang FROM shared WHERE NOT base_failed AND lang IS NOT NULL GROUP BY lang HAVING count(*) >= {Q.MIN_REFERENCE_DOCS}),
+    refs AS (SELECT lang, {share('chars')} AS chars, {share('words')} AS words FROM ({sums('chars')}) JOIN ({sums('words')}) USING (lang)
+        SEMI JOIN enough USING (lang)),
+    near AS (SELECT rid, lang, c.x AS c, w.x AS w, greatest(c.x / {Q.MAX_CHAR_DISTANCE}, w.x / {Q.MAX_WORD_DISTANCE}) AS d
+        FROM ({distance('chars')}) c JOIN ({distance('words')}) w USING (rid, lang)),
+    best AS (SELECT rid, min(struct_pack(d := d, c := c, w := w, l := lang)) AS b FROM near GROUP BY rid)
+    SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+        NOT base_failed AND coalesce(b.d <= 1, true) AS kept, round(b.c, 6) AS char_distance, round(b.w, 6) AS word_distance,
+        b.l AS nearest_lang FROM shared LEFT JOIN best USING (rid)"""
+
+
+ORACLE: dict[str, str] = {"op9_quality_rules": _quality_rules()}
