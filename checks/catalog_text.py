@@ -407,6 +407,30 @@ def _(spark, sf):
     return spelling.spell_correct(S.texts(spark, sf), S.dictionary(spark, sf))
 
 
+def fallback_views() -> dict[str, str]:
+    """CTEs that give words without a candidate a second chance in the relation `fallback`; the result is `twice`."""
+    first = spell_views("reviews")
+    views = {name: first[name] for name in ("s_rows", "s_words", "s_pairs", "s_lev", "s_dist", "s_best")}
+    views["fallback"] = """SELECT term, count(*) AS freq FROM (SELECT unnest(regexp_extract_all(lower(text), '[a-z'']+')) AS term
+        FROM documents WHERE lang = 'de') WHERE length(term) >= 4 GROUP BY term HAVING count(*) >= 5"""
+    for name in ("s_words", "s_pairs", "s_lev", "s_dist", "s_best"):
+        sql = first[name].replace("dictionary", "fallback")
+        for other in ("s_words", "s_pairs", "s_lev", "s_dist"):
+            sql = sql.replace(other, "f" + other[1:])
+        if name == "s_words":
+            sql += " AND token NOT IN (SELECT term FROM dictionary) AND token NOT IN (SELECT token FROM s_best)"
+        views["f" + name[1:]] = sql
+    views["f_texts"] = """SELECT row_id, string_agg(coalesce(s.term, f.term, r.token), ' ' ORDER BY pos) AS t FROM s_rows r
+        LEFT JOIN s_best s ON s.token = r.token LEFT JOIN f_best f ON f.token = r.token GROUP BY row_id"""
+    views["twice"] = "SELECT row_id, coalesce(t, '') AS review_text FROM reviews LEFT JOIN f_texts USING (row_id)"
+    return views
+
+
+@query("spell_correct_fallback", S.with_views("SELECT row_id, review_text FROM twice", "reviews", "dictionary", **fallback_views()))
+def _(spark, sf):
+    return spelling.spell_correct(S.texts(spark, sf), S.dictionary(spark, sf), S.dictionary(spark, sf, "de"))
+
+
 _scheme_b = {"scheme_a": _scheme_a_sql, "no_numbers": _numbers_sql, **lemma_views("no_numbers"),
              "scheme_b": f"SELECT row_id, {SQL_STEPS['remove_emojis']('review_text')} AS review_text FROM lemmatized"}
 

@@ -158,10 +158,10 @@ def word_values(spark: SparkSession) -> DataFrame:
     return spark.createDataFrame(sorted(VALUES.items()), "token string, value double")
 
 
-def dictionary(spark: SparkSession, sf: str) -> DataFrame:
-    """(term, freq): English words of four or more letters seen at least five times."""
-    english = table(spark, sf, "documents").where(F.col("lang") == "en")
-    words = english.select(F.explode(tokenize(F.col("text"), "opinion")).alias("term"))
+def dictionary(spark: SparkSession, sf: str, lang: str = "en") -> DataFrame:
+    """(term, freq): words of one language with four or more letters, seen at least five times."""
+    texts = table(spark, sf, "documents").where(F.col("lang") == lang)
+    words = texts.select(F.explode(tokenize(F.col("text"), "opinion")).alias("term"))
     return (words.where(F.length("term") >= 4).groupBy("term").agg(F.count(F.lit(1)).alias("freq"))
             .where(F.col("freq") >= 5))
 
