@@ -511,3 +511,25 @@ def _(spark, sf):
     scored = scoring.score_stream(stream, S.LEXICON)
     scoring.start_scoring(scored, f"{base}/out", f"{base}/progress").awaitTermination()
     return spark.read.parquet(f"{base}/out").drop("review_text")
+
+
+def _scheme_stream_sql() -> str:
+    from checks import catalog_scores as C
+    from checks import catalog_text as X
+    tokens = """SELECT row_id, unnest(t) AS token, generate_subscripts(t, 1) - 1 AS pos
+        FROM (SELECT row_id, regexp_extract_all(lower(review_text), '[a-z'']+') AS t FROM scheme_b)"""
+    return S.with_views(f"SELECT {C._LEX_COLS} FROM lex_scores", "reviews", "translations", "dictionary", "lexicon",
+                        **X._scheme_b, opinion_tokens=tokens, **C.LEX)
+
+
+@query("score_stream_schemes", _scheme_stream_sql())
+def _(spark, sf):
+    """Schemes A and B on arriving files, then the opinion score."""
+    from checks.catalog_text import _resources
+    from sentilake.plans.schemes import SCHEME_A, SCHEME_B
+    base = scratch(spark)
+    S.texts(spark, sf).repartition(4, "row_id").write.parquet(f"{base}/in")
+    stream = scoring.read_review_stream(spark, f"{base}/in", "row_id bigint, review_text string", files_per_batch=2)
+    scoring.start_scoring_schemes(stream, f"{base}/out", f"{base}/progress", (SCHEME_A, SCHEME_B), _resources(spark, sf),
+                                  S.LEXICON).awaitTermination()
+    return spark.read.parquet(f"{base}/out").drop("review_text", "batch")
