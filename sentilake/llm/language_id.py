@@ -19,7 +19,7 @@ TRAIN_DOCS = 400
 ROUNDS = 3
 SMOOTHING = 0.01
 UNKNOWN = math.log(1e-7)
-MAX_CACHED = 400_000
+MAX_CACHED = 100_000
 MIXER = np.uint64(0x9E3779B97F4A7C15)
 BORDER = 0x2581  # the vocabulary's sign for the start of a word
 WORD_BREAKS = re.compile(r"[\W\d_]+")

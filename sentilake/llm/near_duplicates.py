@@ -16,7 +16,7 @@ from sentilake.llm.shingles import (BAND_ROWS, BANDS, BUCKET_BITS, FINE_BANDS, F
 SIMILARITY = 0.8
 SMALL_BUCKET = 8
 MEDIUM_BUCKET = 64
-TEXTS_PER_STEP = 128
+TEXTS_PER_STEP = 32
 
 
 def _parts(batch: pa.RecordBatch, n: int = TEXTS_PER_STEP) -> Iterator[pa.RecordBatch]:

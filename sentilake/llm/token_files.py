@@ -17,7 +17,7 @@ from pyspark.sql.window import Window
 from sentilake.llm.common import importable
 
 END_ID = 2
-MAX_CACHED = 400_000
+MAX_CACHED = 300_000
 ROWS_PER_BATCH = 256
 WORDS_PER_CALL = 32
 SPACE = "\u0120"  # how byte-level vocabularies write a space

@@ -24,7 +24,7 @@ MARKED = 5.0
 WORDS_PER_DICTIONARY = 6
 LEAST_GAIN = 4
 MARKED_GAIN = 4
-MAX_CACHED = 400_000
+MAX_CACHED = 200_000
 # Both dictionaries know this start of every window, so blocks are always compressed.
 CARRIER = bytes(range(1, 25))
 WORDS = re.compile(r"[^\W_]+")
