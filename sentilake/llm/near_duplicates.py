@@ -17,6 +17,7 @@ SIMILARITY = 0.8
 SMALL_BUCKET = 8
 MEDIUM_BUCKET = 64
 TEXTS_PER_STEP = 32
+SALT_ROWS = 1024
 
 
 def _parts(batch: pa.RecordBatch, n: int = TEXTS_PER_STEP) -> Iterator[pa.RecordBatch]:
@@ -141,6 +142,81 @@ def left_pairs(buckets: DataFrame, roots: DataFrame, tested: DataFrame) -> DataF
     return pairs_across(known).distinct().join(tested, ["a", "b"], "left_anti")
 
 
+def open_nodes(buckets: DataFrame, roots: DataFrame) -> DataFrame:
+    """(node, root) of the larger buckets that still hold nodes of several components."""
+    large = buckets.where(F.col("n") > MEDIUM_BUCKET)
+    known = stash(large.join(roots, "node", "left").select("key", "node", F.coalesce("root", "node").alias("root")), "near-large")
+    several = known.groupBy("key").agg(F.min("root").alias("least"), F.max("root").alias("most")).where("least <> most")
+    return known.join(several.select("key"), "key", "left_semi").select("node", "root").distinct()
+
+
+def prefix_entries(nodes: DataFrame, idf: np.ndarray, similarity: float) -> DataFrame:
+    """The shingles by which a node (id, node, group, shingles) can meet one of another group.
+
+    Two texts of enough similarity share at least that part of either's weight. With shingles in one
+    order for all, their first common one has at least as much weight from there on in both, so
+    only such places are returned (token, node, group, weight, rest). Shingles of a single group
+    come first in the order, as no pair across groups shares them, then rare before frequent ones.
+    """
+    sent = nodes.sparkSession.sparkContext.broadcast(idf)
+
+    def spread(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part in _parts(batch):
+                values = [np.unique(np.frombuffer(x, np.uint32)) for x in part.column("shingles").to_pylist()]
+                at = np.repeat(np.arange(len(values)), [len(v) for v in values])
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(np.concatenate(values).view(np.int32)), part.column("id").take(pa.array(at)),
+                     part.column("group").take(pa.array(at))], names=["token", "id", "group"])
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        bits = np.uint32((1 << BUCKET_BITS) - 1)
+        for batch in batches:
+            for row in batch.to_pylist():
+                values, times = np.unique(np.frombuffer(row["shingles"], np.uint32), return_counts=True)
+                weights = times * sent.value[values & bits].astype(np.float64)
+                total = float(weights.sum())
+                tokens = np.array([t["token"] for t in row["tokens"]], np.int32)
+                order = np.lexsort((tokens, [t["n"] for t in row["tokens"]]))
+                own = weights[np.searchsorted(values, tokens.view(np.uint32))][order]
+                rest = np.cumsum(own[::-1])[::-1]
+                take = rest >= similarity * total * (1 - 1e-9)
+                k = int(take.sum())
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(tokens[order][take]), pa.array([row["node"]] * k, pa.binary()), pa.array([row["group"]] * k, pa.int64()),
+                     pa.array([total] * k, pa.float64()), pa.array(rest[take])], names=["token", "node", "group", "weight", "rest"])
+
+    tokens = nodes.select("id", "group", "shingles").mapInArrow(spread, "token int, id bigint, group bigint")
+    across = stash(tokens.groupBy("token").agg(F.count(F.lit(1)).alias("n"), F.min("group").alias("least"), F.max("group").alias("most"))
+                   .where("least <> most").select("token", "n"), "near-tokens")
+    held = tokens.select("token", "id").join(across, "token").groupBy("id").agg(
+        F.collect_list(F.struct("token", "n")).alias("tokens"))
+    return nodes.join(held, "id").select("node", "group", "shingles", "tokens").mapInArrow(
+        cut, "token int, node binary, group bigint, weight double, rest double")
+
+
+def prefix_pairs(nodes: DataFrame, packed: DataFrame, idf: np.ndarray, similarity: float) -> DataFrame:
+    """All pairs (a, b) of nodes (node, root) with different roots that can be similar enough.
+
+    No pair is left out, whatever the size of a group. Of a shingle's nodes, those outside its most
+    frequent root meet all others, dealt over salts.
+    """
+    groups = stash(nodes.select("root").distinct().withColumn("group", F.monotonically_increasing_id()), "near-groups")
+    held = stash(nodes.join(groups, "root").join(packed, "node").select(
+        F.monotonically_increasing_id().alias("id"), "node", "group", "shingles"), "near-open")
+    entries = stash(prefix_entries(held, idf, similarity), "near-entries")
+    sizes = entries.groupBy("token", "group").agg(F.count(F.lit(1)).alias("n")).groupBy("token").agg(
+        F.sum("n").alias("n"), F.count(F.lit(1)).alias("groups"), F.max(F.struct("n", "group"))["group"].alias("top"))
+    sizes = stash(sizes.where("groups > 1").select("token", "top", F.ceil(F.col("n") / SALT_ROWS).cast("int").alias("salts")), "near-postings")
+    dealt = entries.join(sizes, "token")
+    others = dealt.where(F.col("group") != F.col("top")).withColumn("salt", F.explode(F.sequence(F.lit(0), F.col("salts") - 1))).alias("x")
+    every = dealt.withColumn("salt", F.pmod(F.xxhash64("node"), F.col("salts")).cast("int")).alias("y")
+    x, y = (lambda name: F.col("x." + name)), (lambda name: F.col("y." + name))
+    enough = F.least(x("rest"), y("rest")) >= (x("weight") + y("weight")) * (similarity / (1 + similarity) * (1 - 1e-9))
+    return others.join(every, (x("token") == y("token")) & (x("salt") == y("salt")) & (x("group") != y("group")) & enough).select(
+        F.least(x("node"), y("node")).alias("a"), F.greatest(x("node"), y("node")).alias("b")).distinct()
+
+
 def verified_links(pairs: DataFrame, packed: DataFrame, idf: np.ndarray, similarity: float) -> DataFrame:
     """The pairs (a, b, similarity) whose weighted Jaccard similarity is high enough."""
     sent = pairs.sparkSession.sparkContext.broadcast(idf)
@@ -185,7 +261,8 @@ def near_duplicate_classes(documents: DataFrame, similarity: float = SIMILARITY)
     consistent weighted samples in 10 bands of 3 give candidates; nodes in crowded buckets are
     banded again by 16 bands of 10. A bucket of up to 64 nodes is compared as a whole, first by
     its hub and then across the components that this leaves; a larger one by its hub and by its
-    nodes' longer bands, so no group is ever compared pair by pair. Candidates are verified by their weighted Jaccard
+    nodes' longer bands. If that leaves several components in a larger one, all pairs across them are
+    found by an exact prefix filter. Candidates are verified by their weighted Jaccard
     similarity, and links are closed to connected components.
 
     Equal texts are one node from the start, so a group of copies of any size costs one
@@ -210,6 +287,10 @@ def near_duplicate_classes(documents: DataFrame, similarity: float = SIMILARITY)
     rest = left_pairs(buckets.unionByName(fine), components(links), pairs)
     links = stash(links.unionByName(verified_links(rest, packed, idf, similarity)), "near-links")
     roots = components(links)
+    unsettled = open_nodes(buckets.unionByName(fine), roots)
+    rest = prefix_pairs(unsettled, packed, idf, similarity).join(pairs, ["a", "b"], "left_anti")
+    links = stash(links.unionByName(verified_links(rest, packed, idf, similarity)), "near-links")
+    roots = components(links)
     degrees = (links.select(F.col("a").alias("node")).unionByName(links.select(F.col("b").alias("node")))
                .groupBy("node").agg(F.count(F.lit(1)).alias("n_links")))
     texts = stash(signed.groupBy("node").agg(F.min("doc_id").alias("text_id"), F.count(F.lit(1)).alias("copies")), "near-texts")

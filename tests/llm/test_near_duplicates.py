@@ -109,6 +109,20 @@ def test_classes_match_brute_force(spark):
     assert all(r["copies"] in copies.values() for r in got)
 
 
+def test_pairs_in_a_large_group_are_found_without_its_hub(spark):
+    """A template with a part of its own in every text: only couples are similar enough, by no hub."""
+    rng, rows = random.Random(8), []
+    word = lambda: "w" + str(rng.randrange(10 ** 9))
+    template = [word() for _ in range(220)]
+    for _ in range(150):
+        own = [word() for _ in range(5)]
+        for _ in range(2):
+            words = template + own + [word() for _ in range(21)]
+            rows.append((len(rows), " ".join(words), "en", "s0", 1))
+    got = {r["doc_id"]: r["class_id"] for r in near_duplicate_classes(edge_documents(spark, rows)).collect()}
+    assert got == {k: k - k % 2 for k in range(len(rows))}
+
+
 def test_one_row_of_each_class_stays(spark):
     rows = families()
     docs = edge_documents(spark, rows)
