@@ -9,8 +9,9 @@ ASSIGN_VALUE = r"^(?i:password|passwd|secret|token|api_?key)[\"']?\x20*[:=]\x20*
 ACCESS = r"AKIA[A-Z0-9]+"
 HEX = r"[0-9a-f]+"
 # Parts of multipart credentials: none is reported alone.
-IDENTIFIER = r"(?:AKIA|ASIA|AIza|ghp_|sk_|pk_)[A-Za-z0-9_]{8,}|(?i:client_?id|account_?id|user(?:name)?|login)[\"']?\x20*[:=]\x20*[\"']?[A-Za-z0-9._@-]{3,}"
-WEAK_SECRET = r"(?<![A-Za-z0-9+/_-])(?=[A-Za-z+/_-]{0,80}[0-9])[A-Za-z0-9+/_-]{24,80}={0,2}(?![A-Za-z0-9+/_=-])"
+KEY_ID = r"(?:AKIA|ASIA|AIza|ghp_|sk_|pk_)[A-Za-z0-9_]{8,}|(?i:client_?id|account_?id)[\"']?\x20*[:=]\x20*[\"']?[A-Za-z0-9._@-]{3,}"
+IDENTIFIER = KEY_ID + r"|(?i:user(?:name)?|login)[\"']?\x20*[:=]\x20*[\"']?[A-Za-z0-9._@-]{3,}"
+WEAK_SECRET = r"(?<![A-Za-z0-9+/_-])(?=[A-Za-z+/_-]*+[0-9])[A-Za-z0-9+/_-]{24,}+={0,2}(?![A-Za-z0-9+/_=-])"
 ENDPOINT = r"[a-z][a-z0-9+]{1,11}://[A-Za-z0-9.-]+(?::[0-9]{2,5})?(?:/[A-Za-z0-9._/-]*)?|(?i:host|endpoint|server|region)[\"']?\x20*[:=]\x20*[\"']?[A-Za-z0-9.-]{4,}"
 SCOPE = 240
 KINDS = ("assign", "access", "hex", "linked")
@@ -57,25 +58,31 @@ def written(spans: Column) -> Column:
 
 
 def linked_secrets(secrets: Column, identifiers: Column, endpoints: Column, scope: int = SCOPE) -> Column:
-    """The weak secrets that lie within `scope` of an identifier and of an endpoint or a second identifier part.
+    """The weak secrets that lie within `scope` of the parts that make them a credential.
 
-    An interval join inside the row: the gap between two spans is at most the scope and
-    they do not overlap.
+    The id of a key, client or account is enough. The name of a user or login needs an endpoint or a
+    second, different identifier in the scope too. An interval join inside the row: the gap
+    between two spans is at most the scope and they do not overlap.
     """
     def near(a: Column, b: Column) -> Column:
         return ((b["start"] >= a["end"]) & (b["start"] - a["end"] <= scope)) | (
             (b["end"] <= a["start"]) & (a["start"] - b["end"] <= scope))
 
-    return F.filter(secrets, lambda s: F.exists(identifiers, lambda i: near(s, i)) & F.exists(
-        endpoints, lambda e: near(s, e)))
+    def linked(s: Column) -> Column:
+        known = F.filter(identifiers, lambda i: near(s, i))
+        return F.exists(known, lambda i: i["hit"].rlike("^(?:" + KEY_ID + ")")) | (
+            F.size(F.array_distinct(F.transform(known, lambda i: F.lower(i["hit"])))) >= 2) | (
+            (F.size(known) > 0) & F.exists(endpoints, lambda e: near(s, e)))
+
+    return F.filter(secrets, linked)
 
 
 def scan_secrets(documents: DataFrame, scope: int = SCOPE) -> DataFrame:
     """Find secrets in every text of doc_id and text, one result row per document row.
 
-    Base kinds (assign, access, hex) are found as they stand. The method adds `linked` spans: long
-    mixed strings that say nothing alone are reported only where an access identifier and an
-    endpoint lie in the same scope; spans that touch a base span are left out. All of it is one
+    Base kinds (assign, access, hex) are found as they stand. The method adds `linked` spans: mixed
+    strings of 24 characters and more, and keyword values too short for `assign`, are reported only
+    beside a key, client or account id, or beside a user name with an endpoint or a second identifier; spans that touch a base span are left out. All of it is one
     projection: no shuffle, and no document meets another.
 
     Null texts count as empty and give no spans; repeated rows are scanned one by one; an
@@ -88,15 +95,18 @@ def scan_secrets(documents: DataFrame, scope: int = SCOPE) -> DataFrame:
     longhex = text.rlike("[0-9a-f]{16}")
     first = docs.select(
         "doc_id", "_text",
-        F.filter(spans_where(text, keyword, ASSIGN), lambda s: F.length(
-            F.regexp_replace(s["hit"], ASSIGN_VALUE, "")) >= 12).alias("assign"),
+        spans_where(text, keyword, ASSIGN).alias("_assigned"),
         F.filter(spans_where(text, text.contains("AKIA"), ACCESS), lambda s: F.length(s["hit"]) >= 18).alias("access"),
         # A run of hex digits is a match of its own, so shorter runs can be passed over.
         spans_where(text, longhex, "[0-9a-f]{16,}").alias("hex"),
         text.rlike(WEAK_SECRET).alias("_weak"))
-    both = F.col("_weak") & text.rlike(IDENTIFIER) & text.rlike(ENDPOINT)
+    assigned = F.col("_assigned")
+    long_value = lambda s: F.length(F.regexp_replace(s["hit"], ASSIGN_VALUE, "")) >= 12
+    first = first.select("*", F.filter(assigned, long_value).alias("assign"),
+                         F.filter(assigned, lambda s: ~long_value(s)).alias("_short"))
+    both = (F.col("_weak") | (F.size("_short") > 0)) & text.rlike(IDENTIFIER)
     second = first.select(
-        "doc_id", "assign", "access", "hex", spans_where(text, both, WEAK_SECRET).alias("secrets"),
+        "doc_id", "assign", "access", "hex", F.concat(spans_where(text, both, WEAK_SECRET), "_short").alias("secrets"),
         spans_where(text, both, IDENTIFIER).alias("identifiers"), spans_where(text, both, ENDPOINT).alias("endpoints"))
     base = F.concat("assign", "access", "hex")
     linked = F.filter(linked_secrets(F.col("secrets"), F.col("identifiers"), F.col("endpoints"), scope),

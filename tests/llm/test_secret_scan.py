@@ -45,5 +45,15 @@ def test_parts_are_linked_only_together(spark):
     assert got[1]["linked_hits"] == [secret]
 
 
+def test_long_short_and_endpointless_secrets_are_linked(spark):
+    long, key = "aB3/" * 21 + "xY==", "wJalrXUtnFEMI/K7MDENG/bPxRfiCYEXAMPLEKEY1"
+    texts = {1: f"account_id = store7; AccountKey={long}; endpoint = store7.example.net",
+             2: "user=bob password=hunter2 host=db.example.org", 3: f"AKIAABCDEFGHIJ {key}",
+             4: f"user=bob login=carol {key}", 5: f"user=bob {key} user=bob", 6: "user=bob password=hunter2", 7: f"host=db.example.org {key}"}
+    got = {r["doc_id"]: r["linked_hits"] for r in scan_secrets(edge_documents(
+        spark, [(k, t, "en", "s", 1) for k, t in texts.items()])).collect()}
+    assert got == {1: [long], 2: ["password=hunter2"], 3: [key], 4: [key], 5: [], 6: [], 7: []}
+
+
 def test_empty_table(spark):
     assert scan_secrets(empty_documents(spark)).count() == 0
