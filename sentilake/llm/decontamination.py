@@ -4,6 +4,7 @@ from __future__ import annotations
 import hashlib
 import math
 import re
+from collections.abc import Callable
 from dataclasses import dataclass
 
 import pandas as pd
@@ -16,6 +17,8 @@ ERROR_RATE = 0.08
 MIN_CHARS = 25
 BLOCK_CHARS = 2_000_000
 NOT_WORDS = re.compile(r"[\W_]+")
+# Scripts that put no space between words.
+UNSPACED = re.compile("[\u0e00-\u0eff\u1000-\u109f\u1780-\u17ff\u2e80-\u9fff\uf900-\ufaff\U00020000-\U0003ffff]")
 FIRST_LOOK = 48
 LEAKS = "array<struct<item: int, distance: int, start: int, end: int>>"
 
@@ -29,21 +32,34 @@ def error_budget(length: int, rate: float) -> int:
     return math.floor(length * rate)
 
 
-def anchored_distance(pattern: str, text: str, budget: int) -> tuple[int, int]:
+def one_word(item: str) -> bool:
+    """Whether a normalized item is a single word; a character of a script without spaces counts as a word."""
+    return " " not in item and (len(item) == 1 or not UNSPACED.search(item))
+
+
+def word_edge(text: str, at: int) -> bool:
+    """Whether no word of the normalized text runs over a place."""
+    return at <= 0 or at >= len(text) or any(c == " " or UNSPACED.match(c) for c in text[at - 1:at + 1])
+
+
+def anchored_distance(pattern: str, text: str, budget: int, edge: Callable[[int], bool] | None = None) -> tuple[int, int]:
     """Least edit distance of the pattern to any prefix of the text, and that prefix's length.
 
+    With `edge`, only prefixes of lengths that it accepts count; without one, the distance is over the budget.
+
     Myers' bit-parallel columns, with the text's start fixed. Prefixes more than the budget
     longer than the pattern are not looked at, as they cannot be within it.
     """
     m = len(pattern)
     if m == 0:
-        return 0, 0
+        lengths = range(min(budget, len(text)) + 1) if edge else (0,)
+        return next(((j, j) for j in lengths if edge is None or edge(j)), (budget + 1, 0))
     marks: dict[str, int] = {}
     for i, c in enumerate(pattern):
         marks[c] = marks.get(c, 0) | 1 << i
     full, top = (1 << m) - 1, 1 << (m - 1)
     plus, minus, score = full, 0, m
-    best, where = m, 0
+    best, where = (m, 0) if edge is None or edge(0) else (m + budget + 1, 0)
     for j, c in enumerate(text[:m + budget], 1):
         eq = marks.get(c, 0)
         xv = eq | minus
@@ -58,7 +74,7 @@ def anchored_distance(pattern: str, text: str, budget: int) -> tuple[int, int]:
         down = down << 1 & full
         plus = down | ~(xv | up) & full
         minus = up & xv
-        if score < best:
+        if score < best and (edge is None or edge(j)):
             best, where = score, j
     return best, where
 
@@ -80,7 +96,7 @@ class LeakFinder:
         self.whole: dict[str, list[int]] = {}
         pieces: dict[str, list[Piece]] = {}
         for k, item in enumerate(items):
-            if len(item) < MIN_CHARS:
+            if one_word(item) and len(item) < MIN_CHARS:
                 self.whole.setdefault(item, []).append(k)
                 continue
             n = error_budget(len(item), rate) + 1
@@ -104,10 +120,12 @@ class LeakFinder:
             # The distance of a part is never more than that of the whole.
             if anchored_distance(pattern[:FIRST_LOOK], side, budget)[0] > budget:
                 return None
-        right, used = anchored_distance(tail, text[after:after + len(tail) + budget], budget)
+        short = len(item) < MIN_CHARS
+        right, used = anchored_distance(tail, text[after:after + len(tail) + budget], budget,
+                                        (lambda j: word_edge(text, after + j)) if short else None)
         if right > budget:
             return None
-        left, back = anchored_distance(head, before, budget)
+        left, back = anchored_distance(head, before, budget, (lambda j: word_edge(text, at - j)) if short else None)
         return (left + right, at - back, after + used) if left + right <= budget else None
 
     def find(self, text: str) -> list[tuple[int, int, int, int]]:
@@ -175,7 +193,7 @@ def find_leaks(documents: DataFrame, items: DataFrame, rate: float = ERROR_RATE,
     text (lower case, single spaces for what is no letter or digit).
 
     Items go out in blocks of bounded size, one pass each. An item under `MIN_CHARS` characters
-    counts only where it is the whole document; null and empty items and texts match nothing.
+    must begin and end where words do, and a single word of fewer counts only where it is the whole document; null and empty items and texts match nothing.
     Repeated documents give repeated rows; equal items are each reported; empty tables give
     no rows; other columns are not read. Documents are not shuffled.
     """

@@ -65,6 +65,24 @@ def test_edge_rows(spark):
     assert without_leaks(docs, items).columns == docs.columns
 
 
+def test_short_items_are_found_between_word_edges(spark):
+    items = ["what is 17 times 24", "two words", "yes", "请问十七乘以二十四等于多少"]
+    finder = LeakFinder([normalized(x) for x in items], 0.08)
+
+    def found(text):
+        return {k: d for k, d, _, _ in finder.find(normalized(text))}
+
+    assert found("First: What is 17 times 24? Then more.") == {0: 0} and found("x what is 17 tmes 24 y") == {0: 1}
+    assert found("so what is 17 times 241 then") == {0: 1} and found("what is 17 times 2415") == {}
+    assert found("in two words: no") == {1: 0} and found("two wordsmiths") == {} == found("untwo words")
+    assert found("yes") == {2: 0} and found("yes it is") == {}
+    assert found("老师说请问十七乘以二十四等于多少呢") == {3: 0}
+    docs = spark.createDataFrame([(1, "Q: what is 17 times 24? A: 408"), (2, "nothing of it")], "doc_id bigint, text string")
+    bench = spark.createDataFrame([(7, items[0])], "item_id bigint, text string")
+    assert [tuple(r) for r in find_leaks(docs, bench).collect()] == [(1, 7, 0, 2, 21)]
+    assert [r["doc_id"] for r in without_leaks(docs, bench).collect()] == [2]
+
+
 def test_empty_tables(spark):
     items = spark.createDataFrame([(1, "some passage that is long enough to be searched")], "item_id bigint, text string")
     assert find_leaks(empty_documents(spark), items).count() == 0
