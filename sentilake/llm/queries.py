@@ -96,3 +96,52 @@ def op3_toxicity(spark: SparkSession, sf: str) -> DataFrame:
 def op4_personal_data(spark: SparkSession, sf: str) -> DataFrame:
     from sentilake.llm.pii import find_personal_data
     return find_personal_data(table(spark, sf, "documents"))
+
+
+@query
+def op11_periodic_runs(spark: SparkSession, sf: str) -> DataFrame:
+    from sentilake.llm.periodic_runs import collapse_runs
+    runs = collapse_runs(with_periodic_tails(table(spark, sf, "documents")))
+    line = F.transform("runs", lambda r: F.concat(F.concat_ws(",", r["start"], r["length"], r["period"]), F.lit("\n")))
+    longest = F.array_max(F.transform("runs", lambda r: F.struct(
+        r["length"].alias("length"), (-r["start"]).alias("back"), (-r["period"]).alias("less"))))
+    return runs.withColumn("_long", longest).select(
+        "doc_id", F.size("runs").cast("long").alias("n_runs"), (-F.col("_long.back")).alias("start"), F.col("_long.length").alias("length"),
+        (-F.col("_long.less")).alias("period"),
+        F.expr("1000 * _long.length div -_long.less").alias("exponent_milli"),
+        F.sha2(F.array_join(line, "").cast("binary"), 256).alias("runs_sha256"),
+        F.sha2(F.col("collapsed").cast("binary"), 256).alias("collapsed_sha256"))
+
+
+def with_periodic_tails(documents: DataFrame) -> DataFrame:
+    """doc_id and text, where every tenth document by its hash repeats a stretch of its words to its end.
+
+    A null id hashes as empty text.
+    """
+    from sentilake.llm.common import WORD
+    h = F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary"))
+    cut = documents.select("doc_id", "text", h.alias("_h")).withColumn("_g", F.floor(F.col("_h") / 10)).withColumn(
+        "_words", F.when(F.col("_h") % 10 == 0, F.regexp_extract_all("text", F.lit(f"({WORD})"), F.lit(1))))
+    cut = cut.withColumn("_n", F.size("_words")).withColumn("_a", F.when(F.col("_n") > 0, F.col("_g") % F.col("_n")).cast("int"))
+    rest = F.col("_n") - F.col("_a")
+    cut = cut.withColumn("_p", (1 + F.floor(rest / (3 + F.col("_g") % 8))).cast("int"))
+    repeated = F.slice(F.flatten(F.array_repeat(F.slice("_words", F.col("_a") + 1, F.col("_p")), F.ceil(rest / F.col("_p")).cast("int"))),
+                       F.lit(1), rest)
+    tailed = F.array_join(F.concat(F.slice("_words", F.lit(1), F.col("_a")), repeated), " ")
+    return cut.select("doc_id", F.when(F.col("_n") > 0, tailed).otherwise(F.col("text")).alias("text"))
+
+
+URL_RULES = [("allow", "org", "/"), ("block", "example.org", "/es/"), ("block", "example.org", "/en/1"), ("allow", "com", "/fr/"),
+             ("block", "com", "/de/")]
+
+
+@query
+def op12_url_filter(spark: SparkSession, sf: str) -> DataFrame:
+    from sentilake.llm.url_filter import judge_urls
+    return judge_urls(table(spark, sf, "pages"), URL_RULES)
+
+
+@query
+def op13_source_audit(spark: SparkSession, sf: str) -> DataFrame:
+    from sentilake.llm.source_audit import audit_sources
+    return audit_sources(table(spark, sf, "documents"))
