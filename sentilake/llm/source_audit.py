@@ -3,7 +3,8 @@ from __future__ import annotations
 
 from collections import defaultdict
 from collections.abc import Iterator
-from itertools import chain, count
+from itertools import count
+from zlib import crc32
 
 import numpy as np
 import pandas as pd
@@ -12,51 +13,66 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from sentilake.llm.common import WORD, importable, stash
+from sentilake.llm.common import importable, stash
 
 TERM = r"[^\x00-\x40\x5B-\x60\x7B-\x7F]+"
 MIN_DOCUMENTS = 30
 TOP_TERMS = 50
-BLOCK_WORDS = 1_000_000
-BLOCK_CELLS = 1_000_000
-SMALL_CHUNKS = 500_000
-MAX_CHUNK_BYTES = 64
-
-
-def _block(groups: list[tuple[str, str]], texts: list[list[bytes]]) -> pa.RecordBatch:
-    """Per language, source and chunk of some documents: occurrences and documents."""
-    fresh = count()
-    chunks: defaultdict[bytes, int] = defaultdict(fresh.__next__)
-    sizes = np.fromiter(map(len, texts), np.int64, len(texts))
-    codes = np.fromiter(map(chunks.__getitem__, chain.from_iterable(texts)), np.int64, int(sizes.sum()))
-    group_codes: dict[tuple[str, str], int] = {}
-    of_doc = np.array([group_codes.setdefault(g, len(group_codes)) for g in groups], np.int64)
-    width = max(len(chunks), 1)
-    in_doc, times = np.unique(np.repeat(np.arange(len(texts)), sizes) * width + codes, return_counts=True)
-    pairs, owner = np.unique(of_doc[in_doc // width] * width + in_doc % width, return_inverse=True)
-    n = np.bincount(owner, weights=times, minlength=len(pairs)).astype(np.int64)
-    docs = np.bincount(owner, minlength=len(pairs)).astype(np.int64)
-    names = pa.array(list(chunks), pa.binary()).cast(pa.string())
-    langs, sources = ([g[i] for g in group_codes] for i in (0, 1))
-    return pa.RecordBatch.from_arrays(
-        [names.take(pa.array(pairs % width)), pa.array(langs, pa.string()).take(pa.array(pairs // width)),
-         pa.array(sources, pa.string()).take(pa.array(pairs // width)), pa.array(n), pa.array(docs)],
-        names=["chunk", "lang", "source", "n", "docs"])
+BLOCK_WORDS = 4_000_000
+BLOCK_CHUNKS = 1_000_000
+ROWS_PER_BATCH = 20_000
+BLOCK_CELLS = 100_000
+FILTER_BITS = 24
+
+
+class ChunkBlock:
+    """Chunks of some documents as numbers, and what they sum to per language and source."""
+
+    def __init__(self):
+        self.chunks: defaultdict[bytes, int] = defaultdict(count().__next__)
+        self.groups: defaultdict[tuple[str, str], int] = defaultdict(count().__next__)
+        self.codes: list[np.ndarray] = []
+        self.owners: list[int] = []
+        self.words = 0
+
+    def add(self, lang: str, source: str, text: bytes) -> None:
+        words = text.split()  # bytes are parted at the six ASCII spaces alone
+        self.codes.append(np.fromiter(map(self.chunks.__getitem__, words), np.int32, len(words)))
+        self.owners.append(self.groups[lang, source])
+        self.words += len(words)
+
+    def full(self) -> bool:
+        return self.words >= BLOCK_WORDS or len(self.chunks) >= BLOCK_CHUNKS or len(self.codes) >= BLOCK_WORDS
+
+    def sums(self) -> pa.RecordBatch:
+        """Per chunk, language and source: occurrences, and the documents that hold the chunk."""
+        width = max(len(self.chunks), 1)
+        sizes = np.fromiter(map(len, self.codes), np.int64, len(self.codes))
+        in_doc, times = np.unique(np.repeat(np.arange(len(sizes)) * width, sizes) + np.concatenate(self.codes), return_counts=True)
+        pairs = np.array(self.owners, np.int64)[in_doc // width] * width + in_doc % width
+        order = np.argsort(pairs, kind="stable")
+        pairs, times = pairs[order], times[order]
+        opens = np.flatnonzero(np.diff(pairs, prepend=-1))
+        n = np.add.reduceat(times, opens) if len(opens) else times
+        docs = np.diff(opens, append=len(pairs))
+        pairs = pairs[opens]
+        names = pa.array(list(self.chunks), pa.binary()).cast(pa.string())
+        langs, sources = (pa.array([g[i] for g in self.groups], pa.string()).take(pa.array(pairs // width)) for i in (0, 1))
+        return pa.RecordBatch.from_arrays([names.take(pa.array(pairs % width)), langs, sources, pa.array(n), pa.array(docs)],
+                                          names=["chunk", "lang", "source", "n", "docs"])
 
 
 def _count_chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    groups, texts, words = [], [], 0
+    block = ChunkBlock()
     for batch in batches:
-        for lang, source, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(),
-                                      batch.column(2).cast(pa.binary()).to_pylist()):
-            groups.append((lang, source))
-            texts.append(text.split())
-            words += len(texts[-1])
-            if words >= BLOCK_WORDS:
-                yield _block(groups, texts)
-                groups, texts, words = [], [], 0
-    if groups:
-        yield _block(groups, texts)
+        for row in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2).cast(pa.binary()).to_pylist()):
+            block.add(*row)
+            if block.full():
+                sums, block = block.sums(), ChunkBlock()
+                yield from (sums.slice(at, ROWS_PER_BATCH) for at in range(0, sums.num_rows, ROWS_PER_BATCH))
+    if block.codes:
+        sums = block.sums()
+        yield from (sums.slice(at, ROWS_PER_BATCH) for at in range(0, sums.num_rows, ROWS_PER_BATCH))
 
 
 def lower_ascii(text: Column) -> Column:
@@ -64,13 +80,13 @@ def lower_ascii(text: Column) -> Column:
 
 
 def chunk_counts(docs: DataFrame) -> DataFrame:
-    """chunk, lang, source, n (occurrences), docs (documents) over lang, source and text.
+    """chunk, lang, source, n (occurrences), docs (documents) over lang, source and text, dealt by chunk.
 
     Chunks are counted per document and summed over blocks of documents before anything is shuffled.
     """
     importable(docs.sparkSession)
     return (docs.select("lang", "source", "text")
-            .mapInArrow(_count_chunks, "chunk string, lang string, source string, n bigint, docs bigint")
+            .mapInArrow(_count_chunks, "chunk string, lang string, source string, n bigint, docs bigint").repartition("chunk")
             .groupBy("chunk", "lang", "source").agg(F.sum("n").alias("n"), F.sum("docs").alias("docs")))
 
 
@@ -81,40 +97,67 @@ def chunk_terms(counts: DataFrame) -> DataFrame:
             .agg(F.count(F.lit(1)).alias("times")))
 
 
+def hash_filter(chunks: DataFrame) -> np.ndarray:
+    """One bit for each value of the low `FILTER_BITS` bits of a chunk's crc32: 2 MB however many chunks there are."""
+    low = (F.crc32(F.col("chunk").cast("binary")).bitwiseAND((1 << FILTER_BITS) - 1) + 1).alias("_low")
+    parts = chunks.select(low).groupBy(F.bitmap_bucket_number("_low").alias("at")).agg(
+        F.bitmap_construct_agg(F.bitmap_bit_position("_low")).alias("bits")).collect()
+    bits = np.zeros(1 << FILTER_BITS, bool)
+    for part in parts:
+        known = np.unpackbits(np.frombuffer(bytes(part["bits"]), np.uint8), bitorder="little")
+        bits[(part["at"] - 1) * len(known):part["at"] * len(known)] = known
+    return np.packbits(bits)
+
+
+def chunks_in_documents(docs: DataFrame, chunks: DataFrame) -> DataFrame:
+    """lang, _doc, chunk: once per document each chunk that may be among `chunks`; the filter lets few others through."""
+    packed = hash_filter(chunks)
+
+    def pick(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        wanted, mask = np.unpackbits(packed).tobytes(), (1 << FILTER_BITS) - 1
+        for batch in batches:
+            rows, found = [], []
+            for at, text in enumerate(batch.column(2).cast(pa.binary()).to_pylist()):
+                some = [w for w in set(text.split()) if wanted[crc32(w) & mask]]
+                found += some
+                rows += [at] * len(some)
+            at = pa.array(rows, pa.int64())
+            yield pa.RecordBatch.from_arrays([batch.column(0).take(at), batch.column(1).take(at),
+                                              pa.array(found, pa.binary()).cast(pa.string())], names=["lang", "_doc", "chunk"])
+
+    return docs.select("lang", F.monotonically_increasing_id().alias("_doc"), "text").mapInArrow(
+        pick, "lang string, _doc bigint, chunk string")
+
+
 def term_statistics(documents: DataFrame, min_documents: int = MIN_DOCUMENTS) -> tuple[DataFrame, DataFrame]:
     """(kept, counts): the terms in at least `min_documents` documents of their language, and their counts.
 
     `kept` has lang, term, n, at_least and at_most; `counts` has lang, source, term, n for kept terms.
 
     Chunks between white space are counted per document; each distinct chunk is tokenized once and its
-    terms are joined back, which gives exact occurrences. A term's documents are at least those of its
-    commonest chunk in each source, and at most the sum over its chunks. Where these bounds
-    lie on either side of the limit, the documents of the term's chunks are joined with
-    its terms, and distinct documents are counted; at_least and at_most are then both that count.
+    terms are joined back where the chunk's counts lie, which gives exact occurrences. A term's documents
+    are at least those of its commonest chunk in each source, and at most the sum over its chunks. Where
+    these bounds lie on either side of the limit, the documents that hold the term's chunks are joined
+    with its terms and distinct documents are counted; at_least and at_most are then both that count.
     So only rare chunks of undecided terms are ever shuffled with their documents.
     """
     filled = documents.select(*[F.coalesce(F.col(c).cast("string"), F.lit("")).alias(c) for c in ("text", "lang", "source")])
-    counts = stash(chunk_counts(filled), "chunks")
-    terms = stash(chunk_terms(counts), "chunk-terms")
-    joined = counts.join(terms, "chunk")
+    counts = chunk_counts(filled)
+    joined = stash(counts.join(chunk_terms(counts), "chunk").select(
+        "lang", "source", "chunk", "term", (F.col("n") * F.col("times")).alias("n"), "docs"), "chunk-terms")
     grouped = stash(joined.groupBy("lang", "source", "term").agg(
-        F.sum(F.col("n") * F.col("times")).alias("n"), F.max("docs").alias("at_least"), F.sum("docs").alias("at_most")), "terms")
+        F.sum("n").alias("n"), F.max("docs").alias("at_least"), F.sum("docs").alias("at_most")), "terms")
     by_lang = stash(grouped.groupBy("lang", "term").agg(*[F.sum(c).alias(c) for c in ("n", "at_least", "at_most")])
                     .where(F.col("at_most") >= min_documents), "lang-terms")
     undecided = by_lang.where(F.col("at_least") < min_documents).select("lang", "term")
     chunks = stash(joined.join(undecided, ["lang", "term"]).select("lang", "chunk", "term").distinct(), "undecided")
-    bound = chunks.where(F.octet_length("chunk") + F.octet_length("term") + F.octet_length("lang") <= MAX_CHUNK_BYTES)
-    size = chunks.limit(SMALL_CHUNKS + 1).count()
-    small = size <= SMALL_CHUNKS and bound.count() == size
-    words = filled.withColumn("_doc", F.monotonically_increasing_id()).select("lang", "_doc", F.explode(F.array_distinct(
-        F.regexp_extract_all("text", F.lit(f"({WORD})"), F.lit(1)))).alias("chunk"))
-    exact = (words.join(F.broadcast(chunks) if small else chunks, ["lang", "chunk"])
+    exact = (chunks_in_documents(filled, chunks).join(chunks, ["lang", "chunk"])
              .groupBy("lang", "term", "_doc").agg(F.count(F.lit(1)).alias("_n"))
              .groupBy("lang", "term").agg(F.count(F.lit(1)).alias("_docs")))
     kept = stash(by_lang.join(exact, ["lang", "term"], "left").select(
         "lang", "term", "n", F.coalesce("_docs", "at_least").alias("at_least"), F.coalesce("_docs", "at_most").alias("at_most"))
         .where(F.col("at_least") >= min_documents), "kept")
-    return kept, grouped.join(kept.select("lang", "term"), ["lang", "term"]).select("lang", "source", "term", "n")
+    return kept, stash(grouped.join(kept.select("lang", "term"), ["lang", "term"]).select("lang", "source", "term", "n"), "kept-counts")
 
 
 def _with_share(rows: DataFrame, name: str, n: str = "n") -> DataFrame:
@@ -148,7 +191,7 @@ def audit_sources(documents: DataFrame, min_documents: int = MIN_DOCUMENTS, top_
     first `top_terms` of them. Ranks go by value, greatest first, then by item. Shares are
     in billionths, one added, with 5 occurrences added to each term; sums are whole numbers.
 
-    Kept terms are dealt to blocks of at most about a million cells (terms times sources), and a block's
+    Kept terms are dealt to blocks of about a hundred thousand cells (terms times sources), and a block's
     sums of all pairs of sources are added up, so no pair of sources is emitted once per term.
 
     Null text, lang and source count as empty texts. Empty and very long texts and chunks are read whole;

@@ -60,8 +60,8 @@ def test_equals_brute_force(spark, least):
     assert found(audit_sources(edge_documents(spark, term_rows()), least, 7)) == brute(term_rows(), least, 7)
 
 
-def test_small_blocks_and_shuffled_chunks_change_nothing(spark, monkeypatch):
-    for name, value in (("BLOCK_CELLS", 10), ("SMALL_CHUNKS", 3), ("BLOCK_WORDS", 50)):
+def test_small_blocks_and_a_small_filter_change_nothing(spark, monkeypatch):
+    for name, value in (("BLOCK_CELLS", 10), ("BLOCK_CHUNKS", 40), ("FILTER_BITS", 15), ("ROWS_PER_BATCH", 7)):
         monkeypatch.setattr(source_audit, name, value)
     assert found(audit_sources(edge_documents(spark, term_rows()), 12, 50)) == brute(term_rows(), 12)
 
