@@ -1,26 +1,30 @@
 """How far the sources of a language differ in their terms, with every distinct chunk tokenized once."""
 from __future__ import annotations
 
+import re
 from collections import defaultdict
-from collections.abc import Iterator
-from itertools import count
+from collections.abc import Iterable, Iterator
+from itertools import chain, count
 from zlib import crc32
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+import pyarrow.compute as pc
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from sentilake.llm.common import importable, stash
 
-TERM = r"[^\x00-\x40\x5B-\x60\x7B-\x7F]+"
+TERM = re.compile(r"[^\x00-\x40\x5B-\x60\x7B-\x7F]+")
+LOWER = {c: c + 32 for c in range(ord("A"), ord("Z") + 1)}
 MIN_DOCUMENTS = 30
 TOP_TERMS = 50
 BLOCK_WORDS = 4_000_000
 BLOCK_CHUNKS = 1_000_000
-ROWS_PER_BATCH = 20_000
+MIN_BUCKETS = 8
+PACKED_ROWS = 16
 BLOCK_CELLS = 100_000
 FILTER_BITS = 24
 
@@ -44,8 +48,8 @@ class ChunkBlock:
     def full(self) -> bool:
         return self.words >= BLOCK_WORDS or len(self.chunks) >= BLOCK_CHUNKS or len(self.codes) >= BLOCK_WORDS
 
-    def sums(self) -> pa.RecordBatch:
-        """Per chunk, language and source: occurrences, and the documents that hold the chunk."""
+    def sums(self) -> tuple[pa.Table, np.ndarray]:
+        """Per chunk, language and source: occurrences, and the documents that hold the chunk; and each chunk's hash."""
         width = max(len(self.chunks), 1)
         sizes = np.fromiter(map(len, self.codes), np.int64, len(self.codes))
         in_doc, times = np.unique(np.repeat(np.arange(len(sizes)) * width, sizes) + np.concatenate(self.codes), return_counts=True)
@@ -55,46 +59,115 @@ class ChunkBlock:
         opens = np.flatnonzero(np.diff(pairs, prepend=-1))
         n = np.add.reduceat(times, opens) if len(opens) else times
         docs = np.diff(opens, append=len(pairs))
-        pairs = pairs[opens]
+        group, chunk = pairs[opens] // width, pairs[opens] % width
+        langs, sources = (pa.array([g[i] for g in self.groups], pa.string()).take(pa.array(group)) for i in (0, 1))
         names = pa.array(list(self.chunks), pa.binary()).cast(pa.string())
-        langs, sources = (pa.array([g[i] for g in self.groups], pa.string()).take(pa.array(pairs // width)) for i in (0, 1))
-        return pa.RecordBatch.from_arrays([names.take(pa.array(pairs % width)), langs, sources, pa.array(n), pa.array(docs)],
-                                          names=["chunk", "lang", "source", "n", "docs"])
+        return (pa.table({"chunk": names.take(pa.array(chunk)), "lang": langs, "source": sources, "n": n, "docs": docs}),
+                hashes(self.chunks)[chunk])
 
 
-def _count_chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def hashes(texts: Iterable[bytes]) -> np.ndarray:
+    return np.fromiter(map(crc32, texts), np.int64)
+
+
+def pack(rows: pa.Table, bucket: np.ndarray) -> pa.Table:
+    """One row for each bucket that occurs, with the bucket's rows as lists."""
+    order = np.argsort(bucket, kind="stable")
+    rows, bucket = rows.take(pa.array(order)).combine_chunks(), bucket[order]
+    opens = np.flatnonzero(np.diff(bucket, prepend=-1))
+    offsets = pa.array(np.append(opens, len(bucket)).astype(np.int32))
+    lists = {name: pa.ListArray.from_arrays(offsets, part) for name, part in
+             ((name, rows.column(name).combine_chunks()) for name in rows.column_names)}
+    return pa.table({"bucket": pa.array(bucket[opens]), **lists})
+
+
+def unpack(packed: pa.Table) -> pa.Table:
+    return pa.table({name: pa.chunked_array([part.flatten() for part in packed.column(name).chunks], packed.schema.field(name).type.value_type)
+                     for name in packed.column_names if name != "bucket"}).combine_chunks()
+
+
+def _count_chunks(batches: Iterator[pa.RecordBatch], buckets: int) -> Iterator[pa.RecordBatch]:
+    """Chunk counts of blocks of documents, packed by the hash of the chunk."""
+    def packed(block: ChunkBlock) -> Iterator[pa.RecordBatch]:
+        rows, hashed = block.sums()
+        yield from pack(rows, hashed % buckets).to_batches(max_chunksize=PACKED_ROWS)
+
     block = ChunkBlock()
     for batch in batches:
         for row in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2).cast(pa.binary()).to_pylist()):
             block.add(*row)
             if block.full():
-                sums, block = block.sums(), ChunkBlock()
-                yield from (sums.slice(at, ROWS_PER_BATCH) for at in range(0, sums.num_rows, ROWS_PER_BATCH))
+                yield from packed(block)
+                block = ChunkBlock()
     if block.codes:
-        sums = block.sums()
-        yield from (sums.slice(at, ROWS_PER_BATCH) for at in range(0, sums.num_rows, ROWS_PER_BATCH))
-
-
-def lower_ascii(text: Column) -> Column:
-    return F.translate(text, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
-
-
-def chunk_counts(docs: DataFrame) -> DataFrame:
-    """chunk, lang, source, n (occurrences), docs (documents) over lang, source and text, dealt by chunk.
-
-    Chunks are counted per document and summed over blocks of documents before anything is shuffled.
+        yield from packed(block)
+
+
+def _join_terms(packed: pa.Table, buckets: int) -> pa.Table:
+    """Sum the counts of a bucket's chunks, tokenize each chunk once and join its terms back; packed by the hash of the term."""
+    counts = unpack(packed).group_by(["chunk", "lang", "source"]).aggregate([("n", "sum"), ("docs", "sum")])
+    coded = counts.column("chunk").combine_chunks().dictionary_encode()
+    of_chunk = [TERM.findall(chunk.translate(LOWER)) for chunk in coded.dictionary.to_pylist()]
+    sizes = np.fromiter(map(len, of_chunk), np.int64, len(of_chunk))
+    terms = pa.array(list(chain.from_iterable(of_chunk)), pa.string()).dictionary_encode()
+    width = max(len(terms.dictionary), 1)
+    pairs, times = np.unique(np.repeat(np.arange(len(sizes)) * width, sizes) + terms.indices.to_numpy(zero_copy_only=False).astype(np.int64),
+                             return_counts=True)
+    distinct = np.bincount(pairs // width, minlength=len(sizes))
+    first = np.cumsum(distinct) - distinct
+    chunk = coded.indices.to_numpy(zero_copy_only=False).astype(np.int64)
+    fan = distinct[chunk]
+    row = np.repeat(np.arange(len(chunk)), fan)
+    pair = first[chunk[row]] + np.arange(len(row)) - np.repeat(np.cumsum(fan) - fan, fan)
+    code = pairs[pair] % width
+    joined = counts.select(["chunk", "lang", "source"]).take(pa.array(row)).append_column(
+        "term", terms.dictionary.take(pa.array(code))).append_column(
+        "n", pa.array(counts.column("n_sum").to_numpy()[row] * times[pair])).append_column(
+        "docs", pa.array(counts.column("docs_sum").to_numpy()[row]))
+    hashed = hashes(t.encode() for t in terms.dictionary.to_pylist())
+    return pack(joined, hashed[code] % buckets)
+
+
+def _possible_terms(packed: pa.Table, min_documents: int) -> pa.Table:
+    """Counts of the terms whose documents may reach the limit, and the chunks of those whose bounds do not decide.
+
+    Documents of a term are at least those of its commonest chunk in each source, at most the sum over chunks.
+    """
+    rows = unpack(packed)
+    counts = rows.group_by(["lang", "source", "term"]).aggregate([("n", "sum"), ("docs", "max"), ("docs", "sum")])
+    bounds = counts.group_by(["lang", "term"]).aggregate([("docs_max", "sum"), ("docs_sum", "sum")])
+    bounds = bounds.filter(pc.greater_equal(bounds["docs_sum_sum"], min_documents))
+    undecided = bounds.filter(pc.less(bounds["docs_max_sum"], min_documents)).select(["lang", "term"])
+    chunks = rows.select(["lang", "term", "chunk"]).join(undecided, ["lang", "term"], join_type="inner").group_by(
+        ["lang", "term"]).aggregate([("chunk", "distinct")])
+    chunks = pa.table({"lang": chunks["lang"], "term": chunks["term"], "chunks": chunks["chunk_distinct"].cast(pa.list_(pa.string()))})
+    possible = counts.join(bounds, ["lang", "term"], join_type="inner")
+    out = pa.table({"lang": possible["lang"], "source": possible["source"], "term": possible["term"], "n": possible["n_sum"],
+                    "at_least": possible["docs_max_sum"], "at_most": possible["docs_sum_sum"],
+                    "chunks": pa.nulls(len(possible), pa.list_(pa.string()))})
+    empty = len(chunks)
+    listed = pa.table({"lang": chunks["lang"], "source": pa.nulls(empty, pa.string()), "term": chunks["term"], "n": pa.nulls(empty, pa.int64()),
+                       "at_least": pa.nulls(empty, pa.int64()), "at_most": pa.nulls(empty, pa.int64()), "chunks": chunks["chunks"]})
+    return pa.concat_tables([out, listed])
+
+
+def possible_terms(docs: DataFrame, min_documents: int) -> DataFrame:
+    """lang, source, term, n, at_least, at_most of terms that may be kept, and, in rows without a source, the chunks of undecided ones.
+
+    Counts travel as lists, a row for each block of documents and bucket of chunks, then for each
+    bucket of chunks and bucket of terms. There are twice as many buckets as input partitions, so a bucket
+    holds about as much on any amount of data, and a chunk adds one entry per block, language and source.
     """
     importable(docs.sparkSession)
-    return (docs.select("lang", "source", "text")
-            .mapInArrow(_count_chunks, "chunk string, lang string, source string, n bigint, docs bigint").repartition("chunk")
-            .groupBy("chunk", "lang", "source").agg(F.sum("n").alias("n"), F.sum("docs").alias("docs")))
-
-
-def chunk_terms(counts: DataFrame) -> DataFrame:
-    """chunk, term, times: the terms of every distinct chunk, each chunk tokenized once."""
-    once = counts.select("chunk").distinct().withColumn("_terms", F.regexp_extract_all("chunk", F.lit(f"({TERM})"), F.lit(1)))
-    return (once.select("chunk", F.explode("_terms").alias("_term")).groupBy("chunk", lower_ascii(F.col("_term")).alias("term"))
-            .agg(F.count(F.lit(1)).alias("times")))
+    buckets = max(MIN_BUCKETS, 2 * docs.rdd.getNumPartitions())
+    counts = "lang array<string>, source array<string>, {}n array<bigint>, docs array<bigint>"
+    chunks = docs.select("lang", "source", "text").mapInArrow(
+        lambda batches: _count_chunks(batches, buckets), "bucket bigint, chunk array<string>, " + counts.format(""))
+    terms = chunks.groupBy("bucket").applyInArrow(
+        lambda packed: _join_terms(packed, buckets), "bucket bigint, chunk array<string>, " + counts.format("term array<string>, "))
+    return terms.groupBy("bucket").applyInArrow(
+        lambda packed: _possible_terms(packed, min_documents),
+        "lang string, source string, term string, n bigint, at_least bigint, at_most bigint, chunks array<string>")
 
 
 def hash_filter(chunks: DataFrame) -> np.ndarray:
@@ -135,29 +208,23 @@ def term_statistics(documents: DataFrame, min_documents: int = MIN_DOCUMENTS) ->
     `kept` has lang, term, n, at_least and at_most; `counts` has lang, source, term, n for kept terms.
 
     Chunks between white space are counted per document; each distinct chunk is tokenized once and its
-    terms are joined back where the chunk's counts lie, which gives exact occurrences. A term's documents
-    are at least those of its commonest chunk in each source, and at most the sum over its chunks. Where
-    these bounds lie on either side of the limit, the documents that hold the term's chunks are joined
-    with its terms and distinct documents are counted; at_least and at_most are then both that count.
-    So only rare chunks of undecided terms are ever shuffled with their documents.
+    terms are joined back to the chunk's counts, which gives exact occurrences. Where the bounds of a
+    term's documents lie on either side of the limit, the documents that hold its chunks are joined with its
+    terms and distinct documents are counted; at_least and at_most are then both that count. So
+    only rare chunks of undecided terms are ever shuffled with their documents.
     """
     filled = documents.select(*[F.coalesce(F.col(c).cast("string"), F.lit("")).alias(c) for c in ("text", "lang", "source")])
-    counts = chunk_counts(filled)
-    joined = stash(counts.join(chunk_terms(counts), "chunk").select(
-        "lang", "source", "chunk", "term", (F.col("n") * F.col("times")).alias("n"), "docs"), "chunk-terms")
-    grouped = stash(joined.groupBy("lang", "source", "term").agg(
-        F.sum("n").alias("n"), F.max("docs").alias("at_least"), F.sum("docs").alias("at_most")), "terms")
-    by_lang = stash(grouped.groupBy("lang", "term").agg(*[F.sum(c).alias(c) for c in ("n", "at_least", "at_most")])
-                    .where(F.col("at_most") >= min_documents), "lang-terms")
-    undecided = by_lang.where(F.col("at_least") < min_documents).select("lang", "term")
-    chunks = stash(joined.join(undecided, ["lang", "term"]).select("lang", "chunk", "term").distinct(), "undecided")
+    possible = stash(possible_terms(filled, min_documents), "possible-terms")
+    chunks = possible.where("source IS NULL").select("lang", F.explode("chunks").alias("chunk"), "term")
     exact = (chunks_in_documents(filled, chunks).join(chunks, ["lang", "chunk"])
              .groupBy("lang", "term", "_doc").agg(F.count(F.lit(1)).alias("_n"))
              .groupBy("lang", "term").agg(F.count(F.lit(1)).alias("_docs")))
-    kept = stash(by_lang.join(exact, ["lang", "term"], "left").select(
+    counts = possible.where("source IS NOT NULL")
+    kept = stash(counts.groupBy("lang", "term").agg(F.sum("n").alias("n"), F.max("at_least").alias("at_least"), F.max("at_most").alias("at_most"))
+                 .join(exact, ["lang", "term"], "left").select(
         "lang", "term", "n", F.coalesce("_docs", "at_least").alias("at_least"), F.coalesce("_docs", "at_most").alias("at_most"))
         .where(F.col("at_least") >= min_documents), "kept")
-    return kept, stash(grouped.join(kept.select("lang", "term"), ["lang", "term"]).select("lang", "source", "term", "n"), "kept-counts")
+    return kept, stash(counts.join(kept.select("lang", "term"), ["lang", "term"]).select("lang", "source", "term", "n"), "kept-counts")
 
 
 def _with_share(rows: DataFrame, name: str, n: str = "n") -> DataFrame:

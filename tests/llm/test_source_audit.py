@@ -61,7 +61,7 @@ def test_equals_brute_force(spark, least):
 
 
 def test_small_blocks_and_a_small_filter_change_nothing(spark, monkeypatch):
-    for name, value in (("BLOCK_CELLS", 10), ("BLOCK_CHUNKS", 40), ("FILTER_BITS", 15), ("ROWS_PER_BATCH", 7)):
+    for name, value in (("BLOCK_CELLS", 10), ("BLOCK_CHUNKS", 40), ("FILTER_BITS", 15), ("PACKED_ROWS", 2), ("MIN_BUCKETS", 37)):
         monkeypatch.setattr(source_audit, name, value)
     assert found(audit_sources(edge_documents(spark, term_rows()), 12, 50)) == brute(term_rows(), 12)
 
