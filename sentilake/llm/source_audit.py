@@ -2,8 +2,9 @@
 from __future__ import annotations
 
 import re
-from collections import defaultdict
+from collections import Counter, defaultdict
 from collections.abc import Iterable, Iterator
+from dataclasses import dataclass
 from itertools import chain, count
 from zlib import crc32
 
@@ -21,7 +22,7 @@ TERM = re.compile(r"[^\x00-\x40\x5B-\x60\x7B-\x7F]+")
 LOWER = {c: c + 32 for c in range(ord("A"), ord("Z") + 1)}
 MIN_DOCUMENTS = 30
 TOP_TERMS = 50
-BLOCK_WORDS = 4_000_000
+BLOCK_PAIRS = 3_000_000
 BLOCK_CHUNKS = 1_000_000
 MIN_BUCKETS = 8
 PACKED_ROWS = 16
@@ -29,103 +30,136 @@ BLOCK_CELLS = 100_000
 FILTER_BITS = 24
 
 
+@dataclass(frozen=True)
+class Counts:
+    """Keys, each with `fan` entries in a row: the group (a language and a source), occurrences and documents."""
+    keys: dict[str, pa.Array]
+    fan: np.ndarray
+    group: np.ndarray
+    n: np.ndarray
+    docs: np.ndarray
+    groups: list[tuple[str, str]]
+
+    def pack(self, bucket: np.ndarray) -> pa.Table:
+        """One row for each bucket of keys that occurs, with the bucket's keys and entries as lists."""
+        order = np.argsort(bucket, kind="stable")
+        opens = np.flatnonzero(np.diff(bucket[order], prepend=-1))
+        rows, entries = len(opens), ranges((np.cumsum(self.fan) - self.fan)[order], self.fan[order])
+
+        def lists(values: pa.Array, at: np.ndarray) -> pa.ListArray:
+            return pa.ListArray.from_arrays(pa.array(at.astype(np.int32)), values)
+
+        at_keys = np.append(opens, len(order))
+        at_entries = np.concatenate(([0], np.cumsum(self.fan[order])))[at_keys]
+        at_groups = np.arange(rows + 1) * len(self.groups)
+        return pa.table({
+            "bucket": pa.array(bucket[order][opens]),
+            **{name: lists(values.take(pa.array(order)), at_keys) for name, values in self.keys.items()},
+            "fan": lists(pa.array(self.fan[order], pa.int32()), at_keys),
+            **{name: lists(pa.array(values[entries]), at_entries) for name, values in
+               (("grp", self.group.astype(np.int32)), ("n", self.n), ("docs", self.docs))},
+            **{name: lists(pa.array([g[i] for g in self.groups] * rows, pa.string()), at_groups) for i, name in enumerate(("langs", "sources"))}})
+
+    @staticmethod
+    def unpack(packed: pa.Table, *keys: str) -> Counts:
+        packed = packed.combine_chunks()
+
+        def flat(name: str) -> pa.Array:
+            return pa.concat_arrays([c.flatten() for c in packed.column(name).chunks]) if packed.num_rows else pa.array([], packed.schema.field(name).type.value_type)
+
+        def number(name: str) -> np.ndarray:
+            return flat(name).to_numpy(zero_copy_only=False).astype(np.int64)
+
+        def sizes(name: str) -> np.ndarray:
+            return np.asarray(pc.list_value_length(packed.column(name)).to_numpy(), np.int64)
+
+        known: defaultdict[tuple[str, str], int] = defaultdict(count().__next__)
+        codes = np.fromiter(map(known.__getitem__, zip(flat("langs").to_pylist(), flat("sources").to_pylist())), np.int64)
+        own = sizes("langs")
+        group = codes[np.repeat(np.cumsum(own) - own, sizes("grp")) + number("grp")] if len(codes) else codes
+        return Counts({k: flat(k) for k in keys}, number("fan"), group, number("n"), number("docs"), list(known))
+
+
+def ranges(first: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """first, first + 1, ... for each size, one after the other."""
+    return np.repeat(first - (np.cumsum(sizes) - sizes), sizes) + np.arange(int(sizes.sum()))
+
+
+def by_key(key: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The sorted distinct keys, an order that puts equal keys together, and where each key begins in it."""
+    order = np.argsort(key, kind="stable")
+    opens = np.flatnonzero(np.diff(key[order], prepend=-1))
+    return key[order][opens], order, opens
+
+
+def hashes(texts: Iterable[bytes]) -> np.ndarray:
+    return np.fromiter(map(crc32, texts), np.int64)
+
+
 class ChunkBlock:
-    """Chunks of some documents as numbers, and what they sum to per language and source."""
+    """Chunks of some documents as numbers, counted per document."""
 
     def __init__(self):
         self.chunks: defaultdict[bytes, int] = defaultdict(count().__next__)
         self.groups: defaultdict[tuple[str, str], int] = defaultdict(count().__next__)
         self.codes: list[np.ndarray] = []
+        self.times: list[np.ndarray] = []
         self.owners: list[int] = []
-        self.words = 0
+        self.pairs = 0
 
     def add(self, lang: str, source: str, text: bytes) -> None:
-        words = text.split()  # bytes are parted at the six ASCII spaces alone
-        self.codes.append(np.fromiter(map(self.chunks.__getitem__, words), np.int32, len(words)))
+        found = Counter(text.split())  # bytes are parted at the six ASCII spaces alone
+        self.codes.append(np.fromiter(map(self.chunks.__getitem__, found), np.int32, len(found)))
+        self.times.append(np.fromiter(found.values(), np.int32, len(found)))
         self.owners.append(self.groups[lang, source])
-        self.words += len(words)
+        self.pairs += len(found)
 
     def full(self) -> bool:
-        return self.words >= BLOCK_WORDS or len(self.chunks) >= BLOCK_CHUNKS or len(self.codes) >= BLOCK_WORDS
-
-    def sums(self) -> tuple[pa.Table, np.ndarray]:
-        """Per chunk, language and source: occurrences, and the documents that hold the chunk; and each chunk's hash."""
-        width = max(len(self.chunks), 1)
-        sizes = np.fromiter(map(len, self.codes), np.int64, len(self.codes))
-        in_doc, times = np.unique(np.repeat(np.arange(len(sizes)) * width, sizes) + np.concatenate(self.codes), return_counts=True)
-        pairs = np.array(self.owners, np.int64)[in_doc // width] * width + in_doc % width
-        order = np.argsort(pairs, kind="stable")
-        pairs, times = pairs[order], times[order]
-        opens = np.flatnonzero(np.diff(pairs, prepend=-1))
-        n = np.add.reduceat(times, opens) if len(opens) else times
-        docs = np.diff(opens, append=len(pairs))
-        group, chunk = pairs[opens] // width, pairs[opens] % width
-        langs, sources = (pa.array([g[i] for g in self.groups], pa.string()).take(pa.array(group)) for i in (0, 1))
+        return self.pairs >= BLOCK_PAIRS or len(self.chunks) >= BLOCK_CHUNKS or len(self.codes) >= BLOCK_PAIRS
+
+    def packed(self, buckets: int) -> pa.Table:
+        """Occurrences and documents per chunk, language and source, in one row for each bucket of chunks."""
+        width = len(self.groups)
+        owner = np.repeat(np.array(self.owners, np.int64), np.fromiter(map(len, self.codes), np.int64))
+        cells, order, opens = by_key(np.concatenate(self.codes).astype(np.int64) * width + owner)
+        n = np.add.reduceat(np.concatenate(self.times)[order].astype(np.int64), opens) if len(opens) else cells
         names = pa.array(list(self.chunks), pa.binary()).cast(pa.string())
-        return (pa.table({"chunk": names.take(pa.array(chunk)), "lang": langs, "source": sources, "n": n, "docs": docs}),
-                hashes(self.chunks)[chunk])
-
-
-def hashes(texts: Iterable[bytes]) -> np.ndarray:
-    return np.fromiter(map(crc32, texts), np.int64)
-
-
-def pack(rows: pa.Table, bucket: np.ndarray) -> pa.Table:
-    """One row for each bucket that occurs, with the bucket's rows as lists."""
-    order = np.argsort(bucket, kind="stable")
-    rows, bucket = rows.take(pa.array(order)).combine_chunks(), bucket[order]
-    opens = np.flatnonzero(np.diff(bucket, prepend=-1))
-    offsets = pa.array(np.append(opens, len(bucket)).astype(np.int32))
-    lists = {name: pa.ListArray.from_arrays(offsets, part) for name, part in
-             ((name, rows.column(name).combine_chunks()) for name in rows.column_names)}
-    return pa.table({"bucket": pa.array(bucket[opens]), **lists})
-
-
-def unpack(packed: pa.Table) -> pa.Table:
-    return pa.table({name: pa.chunked_array([part.flatten() for part in packed.column(name).chunks], packed.schema.field(name).type.value_type)
-                     for name in packed.column_names if name != "bucket"}).combine_chunks()
+        counts = Counts({"chunk": names}, np.bincount(cells // width, minlength=len(names)), cells % width, n,
+                        np.diff(opens, append=len(order)), list(self.groups))
+        return counts.pack(hashes(self.chunks) % buckets)
 
 
 def _count_chunks(batches: Iterator[pa.RecordBatch], buckets: int) -> Iterator[pa.RecordBatch]:
-    """Chunk counts of blocks of documents, packed by the hash of the chunk."""
-    def packed(block: ChunkBlock) -> Iterator[pa.RecordBatch]:
-        rows, hashed = block.sums()
-        yield from pack(rows, hashed % buckets).to_batches(max_chunksize=PACKED_ROWS)
-
     block = ChunkBlock()
     for batch in batches:
         for row in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2).cast(pa.binary()).to_pylist()):
             block.add(*row)
             if block.full():
-                yield from packed(block)
+                yield from block.packed(buckets).to_batches(max_chunksize=PACKED_ROWS)
                 block = ChunkBlock()
     if block.codes:
-        yield from packed(block)
+        yield from block.packed(buckets).to_batches(max_chunksize=PACKED_ROWS)
 
 
 def _join_terms(packed: pa.Table, buckets: int) -> pa.Table:
     """Sum the counts of a bucket's chunks, tokenize each chunk once and join its terms back; packed by the hash of the term."""
-    counts = unpack(packed).group_by(["chunk", "lang", "source"]).aggregate([("n", "sum"), ("docs", "sum")])
-    coded = counts.column("chunk").combine_chunks().dictionary_encode()
-    of_chunk = [TERM.findall(chunk.translate(LOWER)) for chunk in coded.dictionary.to_pylist()]
-    sizes = np.fromiter(map(len, of_chunk), np.int64, len(of_chunk))
+    counts = Counts.unpack(packed, "chunk")
+    coded, width = counts.keys["chunk"].dictionary_encode(), max(len(counts.groups), 1)
+    chunk = np.repeat(coded.indices.to_numpy(zero_copy_only=False).astype(np.int64), counts.fan)
+    cells, order, opens = by_key(chunk * width + counts.group)
+    n, docs = (np.add.reduceat(x[order], opens) if len(opens) else x for x in (counts.n, counts.docs))
+
+    of_chunk = [TERM.findall(text.translate(LOWER)) for text in coded.dictionary.to_pylist()]
     terms = pa.array(list(chain.from_iterable(of_chunk)), pa.string()).dictionary_encode()
-    width = max(len(terms.dictionary), 1)
-    pairs, times = np.unique(np.repeat(np.arange(len(sizes)) * width, sizes) + terms.indices.to_numpy(zero_copy_only=False).astype(np.int64),
-                             return_counts=True)
-    distinct = np.bincount(pairs // width, minlength=len(sizes))
-    first = np.cumsum(distinct) - distinct
-    chunk = coded.indices.to_numpy(zero_copy_only=False).astype(np.int64)
-    fan = distinct[chunk]
-    row = np.repeat(np.arange(len(chunk)), fan)
-    pair = first[chunk[row]] + np.arange(len(row)) - np.repeat(np.cumsum(fan) - fan, fan)
-    code = pairs[pair] % width
-    joined = counts.select(["chunk", "lang", "source"]).take(pa.array(row)).append_column(
-        "term", terms.dictionary.take(pa.array(code))).append_column(
-        "n", pa.array(counts.column("n_sum").to_numpy()[row] * times[pair])).append_column(
-        "docs", pa.array(counts.column("docs_sum").to_numpy()[row]))
-    hashed = hashes(t.encode() for t in terms.dictionary.to_pylist())
-    return pack(joined, hashed[code] % buckets)
+    distinct = max(len(terms.dictionary), 1)
+    pairs, times = np.unique(np.repeat(np.arange(len(of_chunk)) * distinct, np.fromiter(map(len, of_chunk), np.int64))
+                             + terms.indices.to_numpy(zero_copy_only=False).astype(np.int64), return_counts=True)
+    of_pair, term = pairs // distinct, pairs % distinct
+    fan = np.bincount(cells // width, minlength=len(of_chunk))
+    entry = ranges((np.cumsum(fan) - fan)[of_pair], fan[of_pair])
+    joined = Counts({"chunk": coded.dictionary.take(pa.array(of_pair)), "term": terms.dictionary.take(pa.array(term))}, fan[of_pair],
+                    (cells % width)[entry], n[entry] * np.repeat(times, fan[of_pair]), docs[entry], counts.groups)
+    return joined.pack((hashes(t.encode() for t in terms.dictionary.to_pylist()) % buckets)[term])
 
 
 def _possible_terms(packed: pa.Table, min_documents: int) -> pa.Table:
@@ -133,22 +167,41 @@ def _possible_terms(packed: pa.Table, min_documents: int) -> pa.Table:
 
     Documents of a term are at least those of its commonest chunk in each source, at most the sum over chunks.
     """
-    rows = unpack(packed)
-    counts = rows.group_by(["lang", "source", "term"]).aggregate([("n", "sum"), ("docs", "max"), ("docs", "sum")])
-    bounds = counts.group_by(["lang", "term"]).aggregate([("docs_max", "sum"), ("docs_sum", "sum")])
-    bounds = bounds.filter(pc.greater_equal(bounds["docs_sum_sum"], min_documents))
-    undecided = bounds.filter(pc.less(bounds["docs_max_sum"], min_documents)).select(["lang", "term"])
-    chunks = rows.select(["lang", "term", "chunk"]).join(undecided, ["lang", "term"], join_type="inner").group_by(
-        ["lang", "term"]).aggregate([("chunk", "distinct")])
-    chunks = pa.table({"lang": chunks["lang"], "term": chunks["term"], "chunks": chunks["chunk_distinct"].cast(pa.list_(pa.string()))})
-    possible = counts.join(bounds, ["lang", "term"], join_type="inner")
-    out = pa.table({"lang": possible["lang"], "source": possible["source"], "term": possible["term"], "n": possible["n_sum"],
-                    "at_least": possible["docs_max_sum"], "at_most": possible["docs_sum_sum"],
-                    "chunks": pa.nulls(len(possible), pa.list_(pa.string()))})
-    empty = len(chunks)
-    listed = pa.table({"lang": chunks["lang"], "source": pa.nulls(empty, pa.string()), "term": chunks["term"], "n": pa.nulls(empty, pa.int64()),
-                       "at_least": pa.nulls(empty, pa.int64()), "at_most": pa.nulls(empty, pa.int64()), "chunks": chunks["chunks"]})
-    return pa.concat_tables([out, listed])
+    counts = Counts.unpack(packed, "chunk", "term")
+    names, width = counts.keys["term"].dictionary_encode(), max(len(counts.groups), 1)
+    pair = np.repeat(np.arange(len(counts.fan)), counts.fan)
+    term = names.indices.to_numpy(zero_copy_only=False).astype(np.int64)[pair]
+    lang_names = sorted({lang for lang, _ in counts.groups})
+    lang_of = np.array([lang_names.index(lang) for lang, _ in counts.groups], np.int64)
+    langs = max(len(lang_names), 1)
+
+    cells, order, opens = by_key(term * width + counts.group)
+    n, most, least = ((f.reduceat(x[order], opens) if len(opens) else x) for f, x in
+                      ((np.add, counts.n), (np.add, counts.docs), (np.maximum, counts.docs)))
+    in_lang = cells // width * langs + lang_of[cells % width] if len(cells) else cells
+    both, lang_order, lang_opens = by_key(in_lang)
+    at_least, at_most = (np.add.reduceat(x[lang_order], lang_opens) if len(lang_opens) else x for x in (least, most))
+    where = np.searchsorted(both, in_lang)
+    kept = np.flatnonzero(at_most[where] >= min_documents) if len(both) else where
+    sources = pa.array([source for _, source in counts.groups], pa.string())
+    lang_names = pa.array(lang_names, pa.string())
+    out = pa.table({"lang": lang_names.take(pa.array(in_lang[kept] % langs)), "source": sources.take(pa.array(cells[kept] % width)),
+                    "term": names.dictionary.take(pa.array(cells[kept] // width)), "n": n[kept], "at_least": at_least[where[kept]],
+                    "at_most": at_most[where[kept]], "chunks": pa.nulls(len(kept), pa.list_(pa.string()))})
+
+    undecided = (at_least < min_documents) & (at_most >= min_documents)
+    of_entry = np.searchsorted(both, term * langs + lang_of[counts.group]) if len(both) else term
+    wanted = np.flatnonzero(undecided[of_entry]) if len(both) else of_entry
+    held = np.unique(of_entry[wanted] * max(len(counts.fan), 1) + pair[wanted])
+    owner, chunk = held // max(len(counts.fan), 1), held % max(len(counts.fan), 1)
+    listed = np.flatnonzero(np.diff(owner, prepend=-1))
+    key = both[owner[listed]]
+    none = pa.nulls(len(listed), pa.int64())
+    rows = pa.table({"lang": lang_names.take(pa.array(key % langs)), "source": pa.nulls(len(listed), pa.string()),
+                     "term": names.dictionary.take(pa.array(key // langs)), "n": none, "at_least": none, "at_most": none,
+                     "chunks": pa.ListArray.from_arrays(pa.array(np.append(listed, len(held)).astype(np.int32)),
+                                                        counts.keys["chunk"].take(pa.array(chunk)))})
+    return pa.concat_tables([out, rows])
 
 
 def possible_terms(docs: DataFrame, min_documents: int) -> DataFrame:
@@ -160,11 +213,11 @@ def possible_terms(docs: DataFrame, min_documents: int) -> DataFrame:
     """
     importable(docs.sparkSession)
     buckets = max(MIN_BUCKETS, 2 * docs.rdd.getNumPartitions())
-    counts = "lang array<string>, source array<string>, {}n array<bigint>, docs array<bigint>"
+    counts = "fan array<int>, grp array<int>, n array<bigint>, docs array<bigint>, langs array<string>, sources array<string>"
     chunks = docs.select("lang", "source", "text").mapInArrow(
-        lambda batches: _count_chunks(batches, buckets), "bucket bigint, chunk array<string>, " + counts.format(""))
+        lambda batches: _count_chunks(batches, buckets), f"bucket bigint, chunk array<string>, {counts}")
     terms = chunks.groupBy("bucket").applyInArrow(
-        lambda packed: _join_terms(packed, buckets), "bucket bigint, chunk array<string>, " + counts.format("term array<string>, "))
+        lambda packed: _join_terms(packed, buckets), f"bucket bigint, chunk array<string>, term array<string>, {counts}")
     return terms.groupBy("bucket").applyInArrow(
         lambda packed: _possible_terms(packed, min_documents),
         "lang string, source string, term string, n bigint, at_least bigint, at_most bigint, chunks array<string>")
@@ -187,11 +240,17 @@ def chunks_in_documents(docs: DataFrame, chunks: DataFrame) -> DataFrame:
     packed = hash_filter(chunks)
 
     def pick(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        wanted, mask = np.unpackbits(packed).tobytes(), (1 << FILTER_BITS) - 1
+        bits, mask = np.unpackbits(packed).tobytes(), (1 << FILTER_BITS) - 1
+        seen: dict[bytes, bool] = {}
         for batch in batches:
             rows, found = [], []
+            if len(seen) > BLOCK_CHUNKS:
+                seen = {}
             for at, text in enumerate(batch.column(2).cast(pa.binary()).to_pylist()):
-                some = [w for w in set(text.split()) if wanted[crc32(w) & mask]]
+                words = set(text.split())
+                for w in words.difference(seen):
+                    seen[w] = bool(bits[crc32(w) & mask])
+                some = [w for w in words if seen[w]]
                 found += some
                 rows += [at] * len(some)
             at = pa.array(rows, pa.int64())
