@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from checks import standins as S
 from checks.registry import query
 from sentilake.functions import text as T
-from sentilake.operators import agreement, bayes, features, lexicon, sampling, senses
+from sentilake.operators import agreement, bayes, features, lexicon, sampling, senses, valence
 from sentilake.session import materialize
 
 NS = S.NOT_SPACE
@@ -162,6 +162,55 @@ def _(spark, sf):
     return done.withColumn("compound", F.round("compound", 9))
 
 
+# Words that do occur in the documents stand for the degree words, negators and the contrast word.
+VALENCE_RULES = valence.ValenceRules(raising=("is", "it"), lowering=("be", "an"), negators=("no", "by", "on", "never"), contrast=("that",))
+
+
+def _valence_sql(r: valence.ValenceRules) -> str:
+    """Words as rows, what the words before them do by lag, and one step for each distance."""
+    lists = {k: S.words_sql(getattr(r, k)) for k in ("raising", "lowering", "negators", "contrast")}
+    d = lambda x: f"CAST({x} AS DOUBLE)"
+    lag = lambda c, k: f"lag({c}, {k}) OVER (PARTITION BY row_id ORDER BY pos)"
+    steps = []
+    for k, decay in enumerate(r.decay, 1):
+        boost = f"""(CASE WHEN w{k} IN {lists['raising']} THEN {d(r.degree)} WHEN w{k} IN {lists['lowering']} THEN {d(-r.degree)} END
+            + CASE WHEN mixed AND c{k} THEN {d(r.capitals)} ELSE 0 END) * {d(decay)}"""
+        between = " OR ".join(f"w{j} IN ('so', 'this')" for j in range(1, k)) or "false"
+        doubt = " OR ".join(f"w{j} = 'doubt'" for j in range(1, k)) or "false"
+        factor = f"""CASE WHEN w{k} = 'never' AND ({between}) THEN {d(r.never_so)} WHEN w{k} = 'without' AND ({doubt}) THEN {d(1)}
+            WHEN w{k} IN {lists['negators']} OR contains(w{k}, 'n''t') THEN {d(r.negation)} ELSE {d(1)} END"""
+        v = f"v{k - 1}"
+        steps.append(f"""v{k} AS (SELECT *, CASE WHEN w{k} IS NULL OR k{k} THEN {v} ELSE ({v} + CASE WHEN {v} > 0 THEN 1 ELSE -1 END
+            * coalesce({boost}, 0)) * {factor} END AS v{k} FROM v{k - 1})""")
+    reach = range(1, len(r.decay) + 1)
+    caps = "(upper(w) = w AND lower(w) <> w)"
+    return S.with_views(f"""SELECT row_id, s AS total, c AS compound, CASE WHEN c >= {d(0.05)} THEN 'positive' WHEN c <= {d(-0.05)} THEN 'negative'
+        ELSE 'neutral' END AS label FROM (SELECT row_id, round(s, 9) AS s, round(s / sqrt(s * s + {d(r.alpha)}), 4) AS c FROM (
+            SELECT row_id, s + sign(s) * marks AS s FROM marks JOIN (SELECT row_id, coalesce(sum(v), 0) AS s FROM reviews LEFT JOIN weighed USING (row_id)
+            GROUP BY row_id) USING (row_id)))""", "reviews", "word_values",
+        raw_words=f"""SELECT row_id, pos, CASE WHEN length(b) <= 2 THEN x ELSE b END AS w FROM (SELECT row_id, pos, x, regexp_replace(x,
+            '^[!-/:-@\\[-`{{-~]+|[!-/:-@\\[-`{{-~]+$', '', 'g') AS b FROM (SELECT row_id, unnest(t) AS x, generate_subscripts(t, 1) - 1 AS pos FROM (
+            SELECT row_id, regexp_extract_all(coalesce(review_text, ''), '[^\\x20\\x09-\\x0D]+') AS t FROM reviews)))""",
+        marks=f"""SELECT row_id, least(e, 4) * {d(r.exclamation)} + CASE WHEN q > 3 THEN {d(r.many_questions)} WHEN q > 1 THEN q * {d(r.question)} ELSE 0 END AS marks
+            FROM (SELECT row_id, length(t) - length(replace(t, '!', '')) AS e, length(t) - length(replace(t, '?', '')) AS q
+            FROM (SELECT row_id, coalesce(review_text, '') AS t FROM reviews))""",
+        texts_at=f"""SELECT row_id, count(*) FILTER ({caps}) BETWEEN 1 AND count(*) - 1 AS mixed, min(pos) FILTER (lower(w) IN {lists['contrast']}) AS turn
+            FROM raw_words GROUP BY row_id""",
+        placed=f"""SELECT row_id, pos, {', '.join(f"{lag('lower(w)', k)} AS w{k}, {lag(caps, k)} AS c{k}, {lag('value IS NOT NULL', k)} AS k{k}" for k in reach)},
+            lower(w) AS word, {caps} AS cap, CAST(value AS DOUBLE) AS value FROM raw_words LEFT JOIN word_values ON token = lower(w)""",
+        v0=f"""SELECT *, value + CASE WHEN mixed AND cap THEN sign(value) * {d(r.capitals)} ELSE 0 END AS v0 FROM placed JOIN texts_at USING (row_id)
+            WHERE value <> 0 AND word NOT IN {lists['raising']} AND word NOT IN {lists['lowering']}""",
+        **{s.split(" AS (", 1)[0]: s.split(" AS (", 1)[1][:-1] for s in steps},
+        weighed=f"""SELECT row_id, v{len(r.decay)} * CASE WHEN w1 = 'least' AND NOT k1 AND coalesce(w2, '') NOT IN ('at', 'very') THEN {d(r.negation)} ELSE 1 END
+            * CASE WHEN turn IS NULL OR pos = turn THEN 1 WHEN pos < turn THEN {d(r.before_contrast)} ELSE {d(r.after_contrast)} END AS v FROM v{len(r.decay)}""")
+
+
+@query("valence_rules", _valence_sql(VALENCE_RULES))
+def _(spark, sf):
+    done = valence.valence_scores(S.texts(spark, sf), S.word_values(spark), VALENCE_RULES)
+    return done.withColumn("total", F.round("total", 9))
+
+
 @query("polarity_label", S.with_views("""SELECT row_id, round(s, 9) AS sentiment_score, CASE WHEN s > CAST(0.1 AS DOUBLE)
     THEN 'positive' WHEN s < CAST(-0.1 AS DOUBLE) THEN 'negative' ELSE 'neutral' END AS label
     FROM (SELECT row_id, coalesce(avg(value), 0) AS s FROM reviews LEFT JOIN (opinion_tokens JOIN word_values USING (token))

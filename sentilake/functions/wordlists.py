@@ -155,3 +155,21 @@ NOUN_SUFFIX_RULES = [
     ("s", ""), ("ses", "s"), ("ves", "f"), ("xes", "x"), ("zes", "z"),
     ("ches", "ch"), ("shes", "sh"), ("men", "man"), ("ies", "y"),
 ]
+
+# --- fixed values: degree words of the valence rules, those that raise and those that lower ---
+RAISING_WORDS = frozenset("""
+absolutely amazingly awfully completely considerable considerably decidedly deeply enormous enormously entirely especially exceptional
+exceptionally extreme extremely fabulously flipping frickin frigging fully greatly hella highly hugely incredible incredibly intensely
+major majorly more most particularly purely quite really remarkably so substantially thoroughly total totally tremendous tremendously
+uber unbelievably unusually utter utterly very
+""".split())
+LOWERING_WORDS = frozenset("""
+almost barely hardly kinda kindof kind-of less little marginal marginally occasional occasionally partly scarce scarcely slight slightly
+somewhat sorta sortof sort-of
+""".split())
+
+# --- fixed values: negators of the valence rules; words that hold n't count too ---
+VALENCE_NEGATORS = frozenset("""
+aint arent cannot cant couldnt darent didnt doesnt dont hadnt hasnt havent isnt mightnt mustnt neither neednt never none nope nor not
+nothing nowhere oughtnt shant shouldnt wasnt werent without wont wouldnt rarely seldom despite
+""".split())
