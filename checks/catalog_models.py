@@ -7,6 +7,7 @@ from checks import standins as S
 from checks.registry import query, scratch
 from sentilake.operators import decisions, errors, features, lexicon, metrics, sampling
 from sentilake.plans import forests
+from sentilake.plans.forest_nodes import node_table
 from sentilake.session import materialize
 from sentilake.streaming import scoring
 
@@ -366,6 +367,20 @@ def _embedding_rows(spark, sf):
     return sampling.stratified_split(features.clean_vectors(e), "y")
 
 
+def _learnable_rows(spark, sf, name="features"):
+    """Embeddings whose class is the greatest of the first three coordinates: a model that learns must beat the majority class."""
+    e = S.table(spark, sf, "embeddings").select(F.col("vec_id").alias("row_id"), F.col("embedding").cast("array<double>").alias("vec"))
+    first = F.slice("vec", 1, 3)
+    e = e.withColumn("y", F.concat(F.lit("c"), F.array_position(first, F.array_max(first)).cast("string")))
+    return materialize(forests.as_vectors(sampling.stratified_split(features.clean_vectors(e), "y"), name=name))
+
+
+def _majority(rows):
+    """The share of the commonest class of the test rows, as one value."""
+    test = rows.where("split = 'test'").groupBy("y").agg(F.count(F.lit(1)).alias("n"))
+    return test.agg((F.max("n") / F.sum("n")).alias("m")).scalar()
+
+
 def _bow_rows(spark, sf):
     rows = S.labelled(spark, sf).select("row_id", "review_text", "y")
     held = sampling.stratified_split(features.bow_vectors(rows, features.fit_vocabulary(rows)), "y")
@@ -395,17 +410,18 @@ def _(spark, sf):
     return _invariants(forests.predict(model, rows.where("split = 'test'"), ("row_id", "y")), model)
 
 
-@query("forest_regularized", "SELECT 'vectors' AS scheme, true AS scores_in_range, true AS gaps_agree")
+@query("forest_regularized", "SELECT 'vectors' AS scheme, true AS scores_in_range, true AS gaps_agree, true AS beats_majority")
 def _(spark, sf):
-    """The scores lie between 0 and 1 and the gaps are their differences."""
-    rows = materialize(forests.as_vectors(_embedding_rows(spark, sf), name="raw_features"))
+    """The scores lie between 0 and 1, the gaps are their differences, and the test accuracy is 0.1 above the majority's share."""
+    rows = _learnable_rows(spark, sf, "raw_features")
     model = forests.fit_forest(rows.where("split = 'train'"), forests.REGULARIZED, before=forests.reduce_dimensions(50))
     scores = materialize(forests.evaluate_split(model, rows, "vectors"))
     done = scores.join(metrics.generalization_gap(scores), "scheme")
     in_range = F.forall(F.array("train_acc", "test_acc", "train_f1", "test_f1"), lambda x: x.between(0, 1))
     agree = (F.abs(F.col("acc_gap") - (F.col("train_acc") - F.col("test_acc"))) < 1e-9) & (
         F.abs(F.col("f1_gap") - (F.col("train_f1") - F.col("test_f1"))) < 1e-9)
-    return done.select("scheme", in_range.alias("scores_in_range"), agree.alias("gaps_agree"))
+    return done.select("scheme", in_range.alias("scores_in_range"), agree.alias("gaps_agree"),
+                       (F.col("test_acc") >= _majority(rows) + 0.1).alias("beats_majority"))
 
 
 @query("forest_standardized", _split_sql(_TEST_ROWS))
@@ -417,14 +433,21 @@ def _(spark, sf):
     return _invariants(forests.predict(model, rows.where("split = 'test'"), ("row_id", "y")), model)
 
 
-@query("forest_small_leaf", "SELECT true AS in_range")
+@query("forest_small_leaf", "SELECT 200 AS trees, 0 AS small_inner_nodes, true AS has_inner_nodes, true AS auc_above, true AS beats_majority")
 def _(spark, sf):
-    rows = materialize(forests.as_vectors(_embedding_rows(spark, sf), name="raw_features"))
+    """No inner node of any tree is below the minimum split size, and the forest ranks and decides well above chance."""
+    rows = _learnable_rows(spark, sf, "raw_features")
     model = forests.fit_forest(rows.where("split = 'train'"), forests.SMALL_LEAF_DEEP,
                                before=[forests.drop_constant_columns()])
-    done = forests.predict(model, rows.where("split = 'test'"), ("row_id", "y"))
-    auc = metrics.roc_auc_ovr(forests.probability_rows(done, ["c0", "c1", "c2"], ("row_id", "y")))
-    return auc.select(F.col(auc.columns[0]).between(0, 1).alias("in_range"))
+    done = materialize(forests.predict(model, rows.where("split = 'test'"), ("row_id", "y")))
+    auc = metrics.roc_auc_ovr(forests.probability_rows(done, model.stages[0].labels, ("row_id", "y")))
+    inner = F.col("left") >= 0
+    nodes = node_table(model, spark).agg(
+        F.countDistinct("tree").cast("int").alias("trees"),
+        F.count(F.when(inner & (F.col("n") < forests.SMALL_LEAF_DEEP.min_split), 1)).cast("int").alias("small_inner_nodes"),
+        (F.count(F.when(inner, 1)) > 200).alias("has_inner_nodes"))
+    return nodes.select("*", (auc.select(F.first(auc.columns[0])).scalar() >= 0.8).alias("auc_above"),
+                        (metrics.accuracy(done).scalar() >= _majority(rows) + 0.2).alias("beats_majority"))
 
 
 _VARIANCE = """SELECT 50 AS components, count(*) AS n_rows, true AS centred, true AS descending, true AS uncorrelated,
@@ -450,30 +473,38 @@ def _(spark, sf):
         every([F.abs(f"c{i}") < 1e-6 for i in range(49)]).alias("uncorrelated"), (kept <= whole + 1e-6).alias("within_total"))
 
 
-@query("cross_validate", "SELECT true AS in_range")
+@query("cross_validate", "SELECT true AS in_range, true AS beats_majority")
 def _(spark, sf):
-    rows = forests.as_vectors(_embedding_rows(spark, sf)).where("split = 'train'").select("row_id", "y", "features")
-    done = forests.cross_validate(rows, forests.BASELINE)
-    return done.select((F.col("mean_accuracy").between(0, 1) & F.col("std_accuracy").between(0, 0.5)).alias("in_range"))
+    """Five folds; the mean accuracy is 0.2 above the majority's share."""
+    rows = _learnable_rows(spark, sf)
+    done = forests.cross_validate(rows.where("split = 'train'").select("row_id", "y", "features"), forests.BASELINE)
+    return done.select((F.col("mean_accuracy").between(0, 1) & F.col("std_accuracy").between(0, 0.2)).alias("in_range"),
+                       (F.col("mean_accuracy") >= _majority(rows) + 0.2).alias("beats_majority"))
+
+
+def _tuning_rows(rows):
+    return sampling.balanced_weights(rows.where("split = 'train'"), "y").select("row_id", "y", "features", "weight")
 
 
-@query("tune_forest", """SELECT t AS trees, d AS depth, l AS min_leaf, true AS in_range FROM (SELECT unnest([10, 20]) AS t),
-    (SELECT unnest([4]) AS d), (SELECT unnest([1, 3]) AS l)""")
+@query("tune_forest", """SELECT t AS trees, d AS depth, l AS min_leaf, 5 AS folds, true AS beats_majority FROM (SELECT unnest([200, 300, 400]) AS t),
+    (SELECT unnest([10, 15, 20]) AS d), (SELECT unnest([1, 2, 3]) AS l)""")
 def _(spark, sf):
-    """Every point of the grid is tried once. The library's own grid has 27 points; a check has four."""
-    rows = sampling.balanced_weights(_embedding_rows(spark, sf).where("split = 'train'"), "y")
-    points = forests.grid_points({"trees": [10, 20], "depth": [4], "min_leaf": [1, 3]})
-    _, table = forests.tune_forest(forests.as_vectors(rows).select("row_id", "y", "features", "weight"), points, folds=3)
-    return table.select("trees", "depth", "min_leaf", F.col("f1").between(0, 1).alias("in_range"))
+    """All 27 points over five folds; every one's F1 is 0.2 above the majority's share."""
+    rows = _learnable_rows(spark, sf)
+    _, table = forests.tune_forest(_tuning_rows(rows))
+    return table.select("trees", "depth", "min_leaf", "folds", (F.col("f1") >= _majority(rows) + 0.2).alias("beats_majority"))
 
 
-@query("tune_forest_random", "SELECT 3 AS points, true AS in_range, true AS distinct_points")
+@query("tune_forest_random", "SELECT 50 AS points, 5 AS folds, true AS distinct_points, true AS beats_majority")
 def _(spark, sf):
-    rows = sampling.balanced_weights(_embedding_rows(spark, sf).where("split = 'train'"), "y")
-    points = forests.random_points({"trees": [5, 10, 20], "depth": [3, 5, None], "min_leaf": [1, 2, 3]}, n_iter=3)
-    _, table = forests.tune_forest(forests.as_vectors(rows).select("row_id", "y", "features", "weight"), points, folds=3)
-    return table.agg(F.count(F.lit(1)).cast("int").alias("points"), F.bool_and(F.col("f1").between(0, 1)).alias("in_range"),
-                     (F.countDistinct("trees", "depth", "min_leaf") == F.count(F.lit(1))).alias("distinct_points"))
+    """50 draws over trees, depth and split size, for two leaf sizes; each leaf size is a fit a fold."""
+    rows = _learnable_rows(spark, sf)
+    points = forests.random_points({**forests.RANDOM_RANGES, "min_leaf": [1, 5], "features": ["sqrt"]})
+    _, table = forests.tune_forest(_tuning_rows(rows), points)
+    distinct = F.countDistinct(F.struct("trees", F.coalesce("depth", F.lit(-1)), "min_split", "min_leaf"))
+    return table.agg(F.count(F.lit(1)).cast("int").alias("points"), F.min("folds").alias("folds"),
+                     (distinct == F.count(F.lit(1))).alias("distinct_points"),
+                     (F.min("f1") >= _majority(rows) + 0.2).alias("beats_majority"))
 
 
 @query("library_bayes", _split_sql(_TEST_ROWS, PREDICTED))

@@ -1,11 +1,12 @@
 """Where check queries and their SQL are collected."""
 from __future__ import annotations
 
-import tempfile
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from sentilake.session import shared_path
+
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 ORACLE: dict[str, str] = {}
@@ -22,11 +23,4 @@ def query(name: str, sql: str | None = None):
 
 def scratch(spark: SparkSession) -> str:
     """A fresh path under the shared checkpoint folder, or a temporary one on a local session."""
-    import uuid
-    sc = spark.sparkContext
-    base = sc.getCheckpointDir() or sc.getConf().get("spark.checkpoint.dir")
-    if base is None:
-        if not sc.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder all executors share")
-        base = tempfile.mkdtemp(prefix="sentilake-")
-    return f"{base}/check-{uuid.uuid4().hex}"
+    return shared_path(spark, "check")

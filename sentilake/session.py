@@ -2,6 +2,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -24,20 +25,33 @@ def build_session(app: str = "sentilake", master: str | None = None, **extra: st
     return builder.getOrCreate()
 
 
-def materialize(df: DataFrame) -> DataFrame:
-    """Write a reused result to the cluster's checkpoint folder and cut its lineage there.
+def is_local(spark: SparkSession) -> bool:
+    """Whether driver and executors are one process; a local cluster's are not."""
+    master = spark.sparkContext.master
+    return master == "local" or master.startswith("local[")
 
-    The folder comes from `spark.checkpoint.dir`. Only a local session may fall back to
-    a temporary folder.
-    """
-    sc = df.sparkSession.sparkContext
+
+def shared_folder(spark: SparkSession) -> str:
+    """The folder all executors share: `spark.checkpoint.dir`. Only a local session may fall back to a temporary one."""
+    sc = spark.sparkContext
     if sc.getCheckpointDir() is None:
-        folder = sc.getConf().get("spark.checkpoint.dir")
+        folder = spark.conf.get("spark.checkpoint.dir", None)
         if folder is None:
-            if not sc.master.startswith("local"):
+            if not is_local(spark):
                 raise ValueError("set spark.checkpoint.dir to a folder all executors share")
             folder = tempfile.mkdtemp(prefix="sentilake-")
         sc.setCheckpointDir(folder)
+    return spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
+
+
+def shared_path(spark: SparkSession, name: str) -> str:
+    """A fresh path in the shared folder."""
+    return f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
+
+
+def materialize(df: DataFrame) -> DataFrame:
+    """Write a reused result to the cluster's checkpoint folder and cut its lineage there."""
+    shared_folder(df.sparkSession)
     return df.checkpoint()
 
 
