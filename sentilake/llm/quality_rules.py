@@ -16,9 +16,10 @@ COMMON_WORDS = {
 }
 CHAR_CLASSES = ("lower", "upper", "digit", "space", "point", "symbol", "other")
 MIN_WORDS = 50
-MAX_CHAR_DISTANCE = 0.35
-MAX_WORD_DISTANCE = 0.55
-MIN_REFERENCE_DOCS = 20
+PRIOR_DOCS = 20  # a reference counts the mean of all languages as so many documents
+# A limit lies so many quartile ranges above the upper quartile. Character distances of ordinary texts lie close together.
+CHAR_FENCE = 16.0
+WORD_FENCE = 1.5
 
 
 def vocabulary() -> list[str]:
@@ -88,9 +89,15 @@ def document_features(documents: DataFrame, *keep: str) -> DataFrame:
     return third.withColumn("words", F.concat("words", F.array(F.greatest(unlisted, F.lit(0.0)))))
 
 
-def shares(histogram: Column) -> Column:
-    total = F.aggregate(histogram, F.lit(0.0), lambda acc, x: acc + x)
-    return F.transform(histogram, lambda x: F.when(total > 0, x / total).otherwise(F.lit(0.0)))
+def with_shares(rows: DataFrame, *names: str) -> DataFrame:
+    """Histograms as shares of their totals. A total is a column of its own: inside the lambda it would be worked out once per bin."""
+    totals = {f"_{n}_total": F.aggregate(n, F.lit(0.0), lambda acc, x: acc + x) for n in names}
+
+    def shares(name: str) -> Column:
+        total = F.col(f"_{name}_total")
+        return F.transform(name, lambda x: F.when(total > 0, x / total).otherwise(F.lit(0.0)))
+
+    return rows.withColumns(totals).withColumns({n: shares(n) for n in names}).drop(*totals)
 
 
 def jensen_shannon(p: Column, q: Column) -> Column:
@@ -106,50 +113,72 @@ def base_failed() -> Column:
     return (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words"))
 
 
-def language_references(features: DataFrame, min_docs: int = MIN_REFERENCE_DOCS) -> DataFrame:
+def language_references(features: DataFrame) -> DataFrame:
     """One row per language: mean shares of the character classes and common words.
 
     Made from all documents of the language that pass the base rules, each with the same
     weight, as two sums per bin: rows combine before the shuffle. Shares are rounded to
-    millionths, so the sums are whole numbers and do not depend on their order.
+    millionths, so the sums are whole numbers and do not depend on their order. The mean of all languages
+    counts as `PRIOR_DOCS` further documents, so a language with few is near that mean and none is left out.
     """
-    def means(name: str, n: int) -> Column:
-        share = shares(F.col(name))
-        return F.array(*[F.sum(F.round(F.get(share, k) * 1_000_000).cast("long")) for k in range(n)])
+    def sums(name: str, n: int) -> Column:
+        return F.array(*[F.sum(F.round(F.get(name, k) * 1_000_000).cast("long")) for k in range(n)])
 
-    sums = (features.where(~base_failed() & F.col("lang").isNotNull()).groupBy("lang")
-            .agg(F.count(F.lit(1)).alias("n"), means("chars", len(CHAR_CLASSES)).alias("chars"),
-                 means("words", len(vocabulary()) + 1).alias("words")).where(F.col("n") >= min_docs))
-    return sums.select("lang", *[shares(F.transform(name, lambda x: x.cast("double"))).alias(name)
-                                 for name in ("chars", "words")])
+    sizes = {"chars": len(CHAR_CLASSES), "words": len(vocabulary()) + 1}
+    good = features.where(~base_failed() & F.col("lang").isNotNull())
+    by_lang = good.groupBy("lang").agg(F.count(F.lit(1)).alias("n"), *[sums(k, n).alias(k) for k, n in sizes.items()])
+    every = by_lang.agg(F.sum("n").alias("_n"), *[F.array(*[F.sum(F.get(k, i)) for i in range(n)]).alias(f"_{k}") for k, n in sizes.items()])
+    smoothed = by_lang.crossJoin(F.broadcast(every)).select("lang", *[
+        F.zip_with(k, f"_{k}", lambda x, y: x + F.lit(float(PRIOR_DOCS)) * y / F.col("_n")).alias(k) for k in sizes])  # one row
+    return with_shares(smoothed, *sizes)
 
 
-def quality_verdicts(documents: DataFrame, max_char: float = MAX_CHAR_DISTANCE, max_word: float = MAX_WORD_DISTANCE,
-                     min_docs: int = MIN_REFERENCE_DOCS) -> DataFrame:
-    """Judge every document of doc_id, text and lang by its divergence from the language references.
+def distance_limits(distances: DataFrame) -> DataFrame:
+    """One row per language: limits of both distances, a fence above its documents' quartiles.
+
+    The documents are all that pass the base rules and have that nearest language. Distances count to
+    thousandths, so that the exact quartiles need a bounded table of counts.
+    """
+    def fence(name: str, ranges: float) -> Column:
+        low, high = (F.percentile(F.round(name, 3), q) for q in (0.25, 0.75))
+        return F.round(high + F.lit(ranges) * (high - low), 6)
+
+    return distances.where("nearest_lang IS NOT NULL").groupBy(F.col("nearest_lang").alias("lang")).agg(
+        fence("char_distance", CHAR_FENCE).alias("max_char"), fence("word_distance", WORD_FENCE).alias("max_word"))
 
-    A document is kept if it passes the base rules and is within both distances of at least
-    one language. Its own label is not used, so an unlabelled document is judged alike. Too
-    short documents (under 50 words) fail before a distance means anything: `char_distance` and
-    `word_distance` are null there. Without any reference (a tiny table) the base rules
-    decide. Null and empty texts have zero counts and fail; repeated rows are judged one by
-    one; other columns are not read.
 
-    The features are written once and read twice: for the references, which are one row per
-    language and travel as one value, and for the verdicts.
+def quality_verdicts(documents: DataFrame) -> DataFrame:
+    """Judge every document of doc_id, text and lang by its divergence from the language references.
+
+    A document is kept if it passes the base rules and both its distances from its nearest language are
+    within that language's limits, which lie above the quartiles of all its documents: a text without common
+    words fails where texts of its language have them. Its own label is not used, so an
+    unlabelled document is judged alike. Too short documents (under 50 words) fail before a distance means
+    anything: `char_distance` and `word_distance` are null there. Without any reference (a tiny table) the
+    base rules decide. Null and empty texts have zero counts and fail; very long texts are counted whole;
+    documents at the limit are kept, and of equally near languages the first by name counts; repeated rows are
+    judged one by one; other columns are not read.
+
+    The histograms are written once and read twice, for the references and the distances; the
+    distances are written for the limits and the verdicts. References and limits, one row per language,
+    travel as one value each.
     """
-    features = stash(document_features(documents, "doc_id", "lang"), "quality")
-    references = language_references(features, min_docs).agg(
+    features = stash(with_shares(document_features(documents, "doc_id", "lang"), "chars", "words"), "quality")
+    references = language_references(features).agg(
         F.sort_array(F.collect_list(F.struct("lang", "chars", "words"))).alias("r")).scalar()
-    chars, words = F.col("char_shares"), F.col("word_shares")
     near = F.transform(F.col("references"), lambda r: F.struct(
-        F.greatest(jensen_shannon(chars, r["chars"]) / max_char, jensen_shannon(words, r["words"]) / max_word).alias("d"),
-        jensen_shannon(chars, r["chars"]).alias("c"), jensen_shannon(words, r["words"]).alias("w"), r["lang"].alias("l")))
-    judged = (features.withColumn("base_failed", base_failed())
-              .withColumn("char_shares", shares(F.col("chars"))).withColumn("word_shares", shares(F.col("words")))
-             .withColumn("references", references)
-              .withColumn("best", F.when(~F.col("base_failed") & (F.size("references") > 0), F.array_min(near))))
-    return judged.select(
-        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed",
-        (~F.col("base_failed") & F.coalesce(F.col("best.d") <= 1, F.lit(True))).alias("kept"),
-        F.col("best.c").alias("char_distance"), F.col("best.w").alias("word_distance"), F.col("best.l").alias("nearest_lang"))
+        F.round(jensen_shannon(F.col("chars"), r["chars"]), 6).alias("c"), F.round(jensen_shannon(F.col("words"), r["words"]), 6).alias("w"),
+        r["lang"].alias("l")))
+    counts = ("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed")
+    judged = (features.withColumn("base_failed", base_failed()).withColumn("references", references)
+              .withColumn("near", F.when(~F.col("base_failed") & (F.size("references") > 0), near))
+              .withColumn("best", F.array_min(F.transform("near", lambda d: F.struct(
+                  F.round(d["c"] + d["w"], 6).alias("d"), d["l"].alias("l"), d["c"].alias("c"), d["w"].alias("w"))))))
+    distances = stash(judged.select(*counts, F.col("best.c").alias("char_distance"), F.col("best.w").alias("word_distance"),
+                                    F.col("best.l").alias("nearest_lang")), "distances")
+    limits = distance_limits(distances).agg(F.map_from_entries(F.collect_list(F.struct(
+        "lang", F.struct("max_char", "max_word")))).alias("m")).scalar()
+    limit = F.col("_limits")[F.col("nearest_lang")]
+    within = (F.col("char_distance") <= limit["max_char"]) & (F.col("word_distance") <= limit["max_word"])
+    return distances.withColumn("_limits", limits).select(
+        *counts, (~F.col("base_failed") & F.coalesce(within, F.lit(True))).alias("kept"), "char_distance", "word_distance", "nearest_lang")

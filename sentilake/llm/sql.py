@@ -25,9 +25,15 @@ def _quality_rules() -> str:
         return f"list_transform({kind}, lambda x: CASE WHEN {total} > 0 THEN x / {total} ELSE 0 END)"
 
     def sums(kind: str) -> str:
-        return f"""SELECT lang, list(n ORDER BY k) AS {kind} FROM (SELECT lang, k, sum(round(x * 1000000)) AS n FROM (
+        return f"""SELECT lang, list(n ORDER BY k) AS {kind} FROM (SELECT lang, k, n + {float(Q.PRIOR_DOCS)}::DOUBLE * sum(n) OVER (PARTITION BY k)
+            / (SELECT count(*) FROM shared WHERE NOT base_failed AND lang IS NOT NULL) AS n FROM (
+            SELECT lang, k, sum(round(x * 1000000)) AS n FROM (
             SELECT lang, unnest({kind}) AS x, generate_subscripts({kind}, 1) AS k FROM shared WHERE NOT base_failed AND lang IS NOT NULL)
-            GROUP BY lang, k) GROUP BY lang"""
+            GROUP BY lang, k)) GROUP BY lang"""
+
+    def fence(name: str, ranges: float) -> str:
+        low, high = (f"quantile_cont(round({name}, 3), {q})" for q in (0.25, 0.75))
+        return f"round({high} + {ranges}::DOUBLE * ({high} - {low}), 6)"
 
     return f"""WITH docs AS (SELECT row_number() OVER () AS rid, doc_id, lang, coalesce(text, '') AS t FROM documents),
     cut AS (SELECT *, regexp_extract_all(t, '[^\\x20\\x09-\\x0D]+') AS ws,
@@ -45,15 +51,13 @@ def _quality_rules() -> str:
         list_append(list_transform({vocab}, lambda v: CAST(len(list_filter(common, lambda w: w = v)) AS DOUBLE)),
         CAST(n_words - len(common) AS DOUBLE)) AS words FROM counted),
     shared AS (SELECT * REPLACE ({share('chars')} AS chars, {share('words')} AS words) FROM hist),
-    enough AS (SELECT lang FROM shared WHERE NOT base_failed AND lang IS NOT NULL GROUP BY lang HAVING count(*) >= {Q.MIN_REFERENCE_DOCS}),
-    refs AS (SELECT lang, {share('chars')} AS chars, {share('words')} AS words FROM ({sums('chars')}) JOIN ({sums('words')}) USING (lang)
-        SEMI JOIN enough USING (lang)),
-    near AS (SELECT rid, lang, c.x AS c, w.x AS w, greatest(c.x / {Q.MAX_CHAR_DISTANCE}, w.x / {Q.MAX_WORD_DISTANCE}) AS d
-        FROM ({distance('chars')}) c JOIN ({distance('words')}) w USING (rid, lang)),
-    best AS (SELECT rid, min(struct_pack(d := d, c := c, w := w, l := lang)) AS b FROM near GROUP BY rid)
+    refs AS (SELECT lang, {share('chars')} AS chars, {share('words')} AS words FROM ({sums('chars')}) JOIN ({sums('words')}) USING (lang)),
+    near AS (SELECT rid, lang, round(c.x, 6) AS c, round(w.x, 6) AS w FROM ({distance('chars')}) c JOIN ({distance('words')}) w USING (rid, lang)),
+    best AS (SELECT rid, min(struct_pack(d := round(c + w, 6), l := lang, c := c, w := w)) AS b FROM near GROUP BY rid),
+    limits AS (SELECT b.l AS lang, {fence('b.c', Q.CHAR_FENCE)} AS max_char, {fence('b.w', Q.WORD_FENCE)} AS max_word FROM best GROUP BY b.l)
     SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
-        NOT base_failed AND coalesce(b.d <= 1, true) AS kept, round(b.c, 6) AS char_distance, round(b.w, 6) AS word_distance,
-        b.l AS nearest_lang FROM shared LEFT JOIN best USING (rid)"""
+        NOT base_failed AND coalesce(b.c <= max_char AND b.w <= max_word, true) AS kept, b.c AS char_distance, b.w AS word_distance,
+        b.l AS nearest_lang FROM shared LEFT JOIN best USING (rid) LEFT JOIN limits ON limits.lang = b.l"""
 
 
 def _periodic_runs(levels: int = 16) -> str:

@@ -44,7 +44,7 @@ def test_foreign_text_is_rejected_and_ordinary_kept(spark):
     rows = [r for r in edge_rows() if r[2] and r[1] and 60 <= len(r[1].split()) <= 200] * 2
     rows = [(k, *r[1:]) for k, r in enumerate(rows)]
     junk = [(900, " ".join(f"{k}#%{k * 7919}|" for k in range(90)), "en", "s0", 1)]
-    got = {r["doc_id"]: r["kept"] for r in quality_verdicts(edge_documents(spark, rows + junk), min_docs=5).collect()}
+    got = {r["doc_id"]: r["kept"] for r in quality_verdicts(edge_documents(spark, rows + junk)).collect()}
     assert got.pop(900) is False and all(got.values())
 
 
