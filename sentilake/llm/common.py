@@ -2,12 +2,13 @@
 from __future__ import annotations
 
 import os
-import tempfile
-import uuid
+from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from sentilake.session import shared_path
+
 WORD = r"[^\x20\x09-\x0D]+"
 SMALL_GROUPS = 1000
 
@@ -17,13 +18,7 @@ def work_path(spark: SparkSession, name: str) -> str:
 
     Only a local session without that setting gets a temporary folder.
     """
-    folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    if folder is None:
-        if not spark.sparkContext.master.startswith("local["):
-            raise ValueError("set spark.checkpoint.dir to a folder all executors share")
-        folder = tempfile.mkdtemp(prefix="sentilake-")
-        spark.sparkContext.setCheckpointDir(folder)
-    return f"{folder}/{name}-{uuid.uuid4().hex}"
+    return shared_path(spark, name)
 
 
 def stash(df: DataFrame, name: str) -> DataFrame:
@@ -33,6 +28,16 @@ def stash(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+_HELD: dict[str, Callable[[], None]] = {}
+
+
+def hold(name: str, clear: Callable[[], None]) -> None:
+    """Say in a Python worker that `name` keeps tables there. Those of other operators, which ran in it before, are dropped."""
+    for other in [n for n in _HELD if n != name]:
+        _HELD.pop(other)()
+    _HELD[name] = clear
+
+
 def importable(spark: SparkSession) -> SparkSession:
     """Let Python workers import this package from where the driver has it.
 

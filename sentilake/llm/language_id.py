@@ -12,7 +12,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sentilake.llm.common import bounded_sample, importable, stash
+from sentilake.llm.common import bounded_sample, hold, importable, stash
 
 VOCABULARY = "piece_bpe_32k.model"
 TRAIN_DOCS = 400
@@ -253,14 +253,20 @@ def predict_texts(texts: list[str | None], model: Model, key: int = 0) -> tuple[
     return names, best
 
 
+def forget() -> None:
+    _CACHE.clear()
+    _SCORES.clear()
+    pieces.cache_clear()
+
+
 def language_udf(spark, model: Model):
     """A column function from texts to (lang_pred, score)."""
     sent, key = importable(spark).sparkContext.broadcast(model), uuid.uuid4().int
 
     def predict(texts: pd.Series) -> pd.DataFrame:
+        hold("languages", forget)
         if key not in _CACHE:  # another model's words go
-            _CACHE.clear()
-            _SCORES.clear()
+            forget()
         names, scores = [], []
         for at in range(0, len(texts), 500):
             a, b = predict_texts(texts.iloc[at:at + 500].tolist(), sent.value, key)

@@ -127,9 +127,10 @@ def language_references(features: DataFrame) -> DataFrame:
     sizes = {"chars": len(CHAR_CLASSES), "words": len(vocabulary()) + 1}
     good = features.where(~base_failed() & F.col("lang").isNotNull())
     by_lang = good.groupBy("lang").agg(F.count(F.lit(1)).alias("n"), *[sums(k, n).alias(k) for k, n in sizes.items()])
-    every = by_lang.agg(F.sum("n").alias("_n"), *[F.array(*[F.sum(F.get(k, i)) for i in range(n)]).alias(f"_{k}") for k, n in sizes.items()])
-    smoothed = by_lang.crossJoin(F.broadcast(every)).select("lang", *[
-        F.zip_with(k, f"_{k}", lambda x, y: x + F.lit(float(PRIOR_DOCS)) * y / F.col("_n")).alias(k) for k in sizes])  # one row
+    every = by_lang.agg(F.struct(F.sum("n").alias("n"), *[F.array(*[F.sum(F.get(k, i)) for i in range(n)]).alias(k) for k, n in sizes.items()])
+                        .alias("every")).scalar()
+    smoothed = by_lang.withColumn("_every", every).select("lang", *[
+        F.zip_with(k, F.col("_every")[k], lambda x, y: x + F.lit(float(PRIOR_DOCS)) * y / F.col("_every.n")).alias(k) for k in sizes])
     return with_shares(smoothed, *sizes)
 
 

@@ -6,6 +6,7 @@ import re
 import zlib
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import chain, islice
 
 import numpy as np
 import pyarrow as pa
@@ -14,10 +15,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from sentilake.llm.common import importable
+from sentilake.llm.common import hold, importable
 
 END_ID = 2
-MAX_CACHED = 400_000
+MAX_CACHED = 150_000
 ROWS_PER_BATCH = 256
 WORDS_PER_CALL = 32
 SPACE = "\u0120"  # how byte-level vocabularies write a space
@@ -33,7 +34,8 @@ class SegmentEncoder:
     The tokenizer never joins a word with what follows its next single space, so a text is
     cut there and each distinct piece is encoded once; texts with runs of white space are
     encoded whole. The results are those of the library on the whole text, which a test
-    checks on arbitrary strings. The cache holds at most `MAX_CACHED` pieces.
+    checks on arbitrary strings. The cache holds `MAX_CACHED` pieces, what a batch adds, and as many of the time
+    before, from which pieces that are met again are taken back.
     """
 
     def __init__(self, path: str):
@@ -46,6 +48,7 @@ class SegmentEncoder:
         self.opens[[i for token, i in vocabulary.items() if token.startswith(SPACE)]] = True
         self.first: dict[str, bytes] = {}
         self.later: dict[str, bytes] = {}
+        self.before: dict[str, bytes] = {}
 
     def _bytes(self, texts: list[str]) -> list[bytes]:
         found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
@@ -66,8 +69,11 @@ class SegmentEncoder:
         """Ids of every text as little-endian unsigned 32-bit integers, without an end id."""
         cut = [None if UNCUT.search(t) else t.split(" ") for t in texts]
         if len(self.later) > MAX_CACHED:
-            self.first, self.later = {}, {}
-        new = list({w for words in cut if words for w in words[1:]}.difference(self.later))
+            self.first, self.later, self.before = {}, {}, self.later
+        new = set(chain.from_iterable(islice(words, 1, None) for words in cut if words)).difference(self.later)
+        known = [w for w in new if w in self.before]
+        self.later.update(zip(known, map(self.before.__getitem__, known)))
+        new = list(new.difference(known))
         self.later.update(zip(new, self._spaced(new), strict=True))
         new = list({words[0] for words in cut if words}.difference(self.first))
         self.first.update(zip(new, self._bytes(new)))
@@ -78,7 +84,7 @@ class SegmentEncoder:
                 out.append(self._bytes([text])[0])
             else:
                 head = self.first[words[0]]
-                out.append(head + b"".join([later[w] for w in words[1:]]))
+                out.append(head + b"".join(map(later.__getitem__, islice(words, 1, None))))
         return out
 
 
@@ -93,6 +99,7 @@ def _tokenizer_path(name: str) -> str:
 
 
 def _encode_partition(batches: Iterator[pa.RecordBatch], tokenizer: str, end_id: int) -> Iterator[pa.RecordBatch]:
+    hold("tokens", encoder.cache_clear)
     enc, tail = encoder(_tokenizer_path(tokenizer)), np.asarray([end_id], "<u4").tobytes()
     part, start = TaskContext.get().partitionId(), 0
     for whole in batches:
