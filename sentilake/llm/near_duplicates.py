@@ -151,59 +151,45 @@ def open_nodes(buckets: DataFrame, roots: DataFrame) -> DataFrame:
 
 
 def prefix_entries(nodes: DataFrame, idf: np.ndarray, similarity: float) -> DataFrame:
-    """The shingles by which a node (id, node, group, shingles) can meet one of another group.
+    """The shingles by which a node (node, group, shingles) can meet one of another group.
 
     Two texts of enough similarity share at least that part of either's weight. With shingles in one
     order for all, their first common one has at least as much weight from there on in both, so
-    only such places are returned (token, node, group, weight, rest). Shingles of a single group
-    come first in the order, as no pair across groups shares them, then rare before frequent ones.
+    only such places are returned (token, node, group, weight, rest). The order is that of the
+    documents that hold a shingle's bucket, rare before frequent, which every task knows without
+    a shuffle.
     """
     sent = nodes.sparkSession.sparkContext.broadcast(idf)
 
-    def spread(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for part in _parts(batch):
-                values = [np.unique(np.frombuffer(x, np.uint32)) for x in part.column("shingles").to_pylist()]
-                at = np.repeat(np.arange(len(values)), [len(v) for v in values])
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.concatenate(values).view(np.int32)), part.column("id").take(pa.array(at)),
-                     part.column("group").take(pa.array(at))], names=["token", "id", "group"])
-
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bits = np.uint32((1 << BUCKET_BITS) - 1)
         for batch in batches:
             for row in batch.to_pylist():
                 values, times = np.unique(np.frombuffer(row["shingles"], np.uint32), return_counts=True)
-                weights = times * sent.value[values & bits].astype(np.float64)
-                total = float(weights.sum())
-                tokens = np.array([t["token"] for t in row["tokens"]], np.int32)
-                order = np.lexsort((tokens, [t["n"] for t in row["tokens"]]))
-                own = weights[np.searchsorted(values, tokens.view(np.uint32))][order]
+                of_bucket = sent.value[values & bits].astype(np.float64)
+                order = np.lexsort((values, -of_bucket))
+                own = (times * of_bucket)[order]
                 rest = np.cumsum(own[::-1])[::-1]
+                total = float(rest[0])
                 take = rest >= similarity * total * (1 - 1e-9)
                 k = int(take.sum())
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(tokens[order][take]), pa.array([row["node"]] * k, pa.binary()), pa.array([row["group"]] * k, pa.int64()),
-                     pa.array([total] * k, pa.float64()), pa.array(rest[take])], names=["token", "node", "group", "weight", "rest"])
-
-    tokens = nodes.select("id", "group", "shingles").mapInArrow(spread, "token int, id bigint, group bigint")
-    across = stash(tokens.groupBy("token").agg(F.count(F.lit(1)).alias("n"), F.min("group").alias("least"), F.max("group").alias("most"))
-                   .where("least <> most").select("token", "n"), "near-tokens")
-    held = tokens.select("token", "id").join(across, "token").groupBy("id").agg(
-        F.collect_list(F.struct("token", "n")).alias("tokens"))
-    return nodes.join(held, "id").select("node", "group", "shingles", "tokens").mapInArrow(
+                    [pa.array(values[order][take].view(np.int32)), pa.array([row["node"]] * k, pa.binary()),
+                     pa.array([row["group"]] * k, pa.int64()), pa.array([total] * k, pa.float64()), pa.array(rest[take])],
+                    names=["token", "node", "group", "weight", "rest"])
+
+    return nodes.select("node", "group", "shingles").mapInArrow(
         cut, "token int, node binary, group bigint, weight double, rest double")
 
 
 def prefix_pairs(nodes: DataFrame, packed: DataFrame, idf: np.ndarray, similarity: float) -> DataFrame:
     """All pairs (a, b) of nodes (node, root) with different roots that can be similar enough.
 
-    No pair is left out, whatever the size of a group. Of a shingle's nodes, those outside its most
-    frequent root meet all others, dealt over salts.
+    No pair is left out, whatever the size of a group. Shingles of a single root meet nobody and are left before the join. Of
+    a shingle's nodes, those outside its most frequent root meet all others, dealt over salts.
     """
     groups = stash(nodes.select("root").distinct().withColumn("group", F.monotonically_increasing_id()), "near-groups")
-    held = stash(nodes.join(groups, "root").join(packed, "node").select(
-        F.monotonically_increasing_id().alias("id"), "node", "group", "shingles"), "near-open")
+    held = nodes.join(groups, "root").join(packed, "node").select("node", "group", "shingles")
     entries = stash(prefix_entries(held, idf, similarity), "near-entries")
     sizes = entries.groupBy("token", "group").agg(F.count(F.lit(1)).alias("n")).groupBy("token").agg(
         F.sum("n").alias("n"), F.count(F.lit(1)).alias("groups"), F.max(F.struct("n", "group"))["group"].alias("top"))
