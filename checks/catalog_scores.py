@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from checks import standins as S
 from checks.registry import query
 from sentilake.functions import text as T
-from sentilake.operators import agreement, bayes, features, lexicon, sampling, senses, valence
+from sentilake.operators import agreement, bayes, features, lexicon, phrases, sampling, senses, valence
 from sentilake.session import materialize
 
 NS = S.NOT_SPACE
@@ -220,6 +220,42 @@ def _(spark, sf):
     return done.withColumn("sentiment_score", F.round("sentiment_score", 9))
 
 
+# Word pairs that do occur in the documents stand for phrases and modifiers: phrase, value, factor.
+PHRASES = [("the", 0.1, None), ("the the", -0.4, None), ("the of", None, 1.3), ("of the", 0.6, None), ("and the", None, -0.5), ("and", None, 1.2),
+           ("is", 0.9, None), ("of the and", -0.8, None), ("in", None, None), ("in the", 0.3, None), ("to the the", 0.5, None), ("la", -0.2, None),
+           ("de la", 0.7, None), ("der der", None, 0.5), ("der", 0.4, None)]
+PHRASE_REACH = 2
+
+_phrase_rows = ", ".join("(" + ", ".join([f"'{p}'"] + ["CAST(NULL AS DOUBLE)" if x is None else f"CAST({x} AS DOUBLE)" for x in v]) + ")"
+                         for p, *v in PHRASES)
+_polarity_phrases = S.with_views(f"""SELECT row_id, n AS n_phrases, s AS sentiment_score, CASE WHEN s > CAST(0.1 AS DOUBLE) THEN 'positive'
+    WHEN s < CAST(-0.1 AS DOUBLE) THEN 'negative' ELSE 'neutral' END AS label FROM (SELECT row_id, coalesce(n, 0) AS n,
+    CASE WHEN n > 0 THEN round(total / n, 9) ELSE CAST(0 AS DOUBLE) END AS s FROM reviews LEFT JOIN (
+        SELECT row_id, total, n FROM (SELECT row_id, k, total, n, max(k) OVER (PARTITION BY row_id) AS last FROM walked) WHERE k = last)
+    USING (row_id))""", "reviews", "opinion_tokens",
+    phrase_list=f"SELECT * FROM (VALUES {_phrase_rows}) AS t (phrase, value, factor)",
+    ahead="""SELECT row_id, pos, token AS g1, token || ' ' || lead(token) OVER w AS g2, token || ' ' || lead(token) OVER w || ' ' || lead(token, 2) OVER w AS g3
+        FROM opinion_tokens WINDOW w AS (PARTITION BY row_id ORDER BY pos)""",
+    phrase_hits="""SELECT row_id, pos, words, value, factor FROM (SELECT row_id, pos, 1 AS words, g1 AS phrase FROM ahead UNION ALL
+        SELECT row_id, pos, 2, g2 FROM ahead UNION ALL SELECT row_id, pos, 3, g3 FROM ahead) JOIN phrase_list USING (phrase)""",
+    numbered_hits="""SELECT *, row_number() OVER (PARTITION BY row_id ORDER BY pos) AS k FROM (SELECT row_id, pos, max(words) AS words,
+        arg_max(struct_pack(value := value, factor := factor), words) AS entry FROM phrase_hits GROUP BY row_id, pos)""",
+    walked=f"""SELECT DISTINCT row_id, CAST(0 AS BIGINT) AS k, CAST(0 AS BIGINT) AS stop, CAST(1 AS DOUBLE) AS factor, CAST(0 AS DOUBLE) AS total,
+            CAST(0 AS BIGINT) AS n FROM numbered_hits UNION ALL
+        SELECT row_id, k, CASE WHEN covered THEN stop ELSE pos + words END, CASE WHEN covered THEN old WHEN value IS NULL THEN f * coalesce(own, 1)
+            ELSE 1 END, total + CASE WHEN covered OR value IS NULL THEN 0 ELSE greatest(-1, least(1, value * f)) END,
+            n + CASE WHEN covered OR value IS NULL THEN 0 ELSE 1 END FROM (
+            SELECT h.row_id, h.k, w.stop, w.factor AS old, w.total, w.n, h.pos, h.words, h.entry.value AS value, h.entry.factor AS own,
+                h.pos < w.stop AS covered, CASE WHEN h.pos - w.stop <= {PHRASE_REACH} THEN w.factor ELSE CAST(1 AS DOUBLE) END AS f
+            FROM walked AS w JOIN numbered_hits AS h ON h.row_id = w.row_id AND h.k = w.k + 1)""")
+
+
+@query("polarity_phrases", _polarity_phrases.replace("WITH ", "WITH RECURSIVE ", 1))
+def _(spark, sf):
+    table = spark.createDataFrame(PHRASES, "phrase string, value double, factor double")
+    return phrases.phrase_polarity(S.texts(spark, sf), table, reach=PHRASE_REACH)
+
+
 # ------------------------------------------------------------------ agreement
 
 @query("normalize_label", S.with_views("""SELECT row_id, annotator, CASE WHEN row_id % 11 = 0 THEN 'neutral' ELSE label END AS label
