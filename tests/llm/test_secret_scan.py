@@ -55,5 +55,21 @@ def test_long_short_and_endpointless_secrets_are_linked(spark):
     assert got == {1: [long], 2: ["password=hunter2"], 3: [key], 4: [key], 5: [], 6: [], 7: []}
 
 
+def test_identifiers_begin_where_words_do_and_short_values_are_strong(spark):
+    texts = {1: "in task_management of the plan abcdefghijklmnop1234567890qrs", 2: "client_id: store1 secret: none",
+             3: "client_id: store1 secret: s3cret", 4: "risk_assessment abcdefghijklmnop1234567890qrs",
+             5: "sk_live_abcdefgh12 abcdefghijklmnop1234567890qrs", 6: "superuser: bob host: db.example.org password: hunter2"}
+    got = {r["doc_id"]: r["linked_hits"] for r in scan_secrets(edge_documents(
+        spark, [(k, t, "en", "s", 1) for k, t in texts.items()])).collect()}
+    assert got == {1: [], 2: [], 3: ["secret: s3cret"], 4: [], 5: ["abcdefghijklmnop1234567890qrs"], 6: []}
+
+
+def test_very_many_hits_keep_their_places(spark):
+    rows = [(k, " é ".join(f"{i:016x} AKIA{i:016d} token={i:012d}" for i in range(n)), "en", "s", 1)
+            for k, n in enumerate((255, 256, 257, 512, 513, 20_000))]
+    for r in scan_secrets(edge_documents(spark, rows)).collect():
+        assert (r["n_assign"], r["n_access"], r["n_hex"], r["base_sha256"]) == base(rows[r["doc_id"]][1])[:4]
+
+
 def test_empty_table(spark):
     assert scan_secrets(empty_documents(spark)).count() == 0
