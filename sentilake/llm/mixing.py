@@ -11,6 +11,8 @@ from sentilake.llm.common import WORD, stash
 
 BLOCK_WORDS = 32
 SHARD_SLOTS = 65_536
+RANGE_SLOTS = 4096
+SLOTS_PER_TASK = 1 << 20
 GRID = 4096
 ROUNDS = 6
 WALKS = 24
@@ -118,10 +120,15 @@ def draw_slots(targets: DataFrame, all_words: float, block: int, shard_slots: in
     blocks = F.ceil(F.col("source_size") / block).cast("long")
     before = F.coalesce(F.sum("count").over(Window.partitionBy("id").orderBy("shard").rowsBetween(
         Window.unboundedPreceding, -1)), F.lit(0))
-    slots = (counts.withColumn("start", before).join(targets.select("id", blocks.alias("blocks")), "id")
-             .select("shard", "id", "blocks", F.explode(F.sequence(
-                 F.col("start"), F.col("start") + F.col("count") - 1)).alias("slot"))
-             .where(F.col("slot") < 2 * F.col("blocks")))
+    # A few rows say how many; they are cut into short ranges and dealt before the slots are written out.
+    tasks = max(int(spark.conf.get("spark.sql.shuffle.partitions")), math.ceil(all_words / block / SLOTS_PER_TASK))
+    most = F.least(F.col("start") + F.col("count"), 2 * F.col("blocks")) - 1
+    ranges = (counts.withColumn("start", before).join(targets.select("id", blocks.alias("blocks")), "id")
+              .withColumn("most", most).where("start <= most")
+              .withColumn("least", F.explode(F.sequence("start", "most", F.lit(RANGE_SLOTS).cast("long"))))
+              .repartition(tasks, "id", "least"))
+    slots = ranges.select("shard", "id", "blocks", F.explode(F.sequence(
+        F.col("least"), F.least(F.col("least") + RANGE_SLOTS - 1, F.col("most")))).alias("slot"))
     round_ = F.floor(F.col("slot") / F.col("blocks"))
     return slots.select("shard", "id", "slot", permuted(
         F.pmod("slot", "blocks"), F.col("blocks"), F.xxhash64(F.lit(seed + 3), "id", round_)).alias("block"))
