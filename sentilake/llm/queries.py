@@ -22,12 +22,11 @@ def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
 @query
 def op2_sharding(spark: SparkSession, sf: str) -> DataFrame:
     from sentilake.llm.sharding import shuffle_into_shards
-    text = F.coalesce(F.col("text"), F.lit(""))
-    rows = table(spark, sf, "documents").select(
-        "doc_id", (F.octet_length(text) + 1).cast("long").alias("size"),
-        F.crc32(text.cast("binary")).cast("long").alias("text_crc32"))
-    return shuffle_into_shards(rows, 8).select(
-        "row.*", F.lit("rows").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
+    dealt = shuffle_into_shards(table(spark, sf, "documents").select("doc_id", "text"), 8)
+    text = F.coalesce(F.col("row.text"), F.lit(""))
+    return dealt.select(
+        "row.doc_id", (F.octet_length(text) + 1).cast("long").alias("size"), F.crc32(text.cast("binary")).cast("long").alias("text_crc32"),
+        F.lit("rows").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
 
 
 @query

@@ -78,8 +78,10 @@ def shuffle_into_shards(rows: DataFrame, shards: int = 8, seed: int = 17) -> Dat
 
     Returns `row` (a struct of all input columns, whatever their names), `shard` (int, from 0)
     and `slot` (long, gapless from 0 in each shard). Equal and repeated rows are dealt one by
-    one; nulls and empty texts are plain values; an empty table gives no rows. The first
-    ranks are written to the shared folder, so a lost executor cannot deal a row anew.
+    one, and ties of a random key are ordered by partition and rank; nulls and empty texts are
+    plain values; an empty table gives no rows. Very long texts travel whole, as any row:
+    once with the first ranks, which are written to the shared folder, so that a lost executor cannot deal
+    a row anew, and once through the exchange.
     """
     spark = rows.sparkSession
     mixed = rows.select(F.struct("*").alias("row"), F.rand(seed).alias("_key")).sortWithinPartitions("_key")
