@@ -19,7 +19,7 @@ ORDINARY_DOCS = 4000
 DICTIONARY_BYTES = 16_384
 LEVEL = 5
 LEAST_MATCH = 4
-LEAST_SHARE = 0.02
+LEAST_EVIDENCE = 10.83  # reached by chance by one word in a thousand
 MARKED = 5.0
 WORDS_PER_DICTIONARY = 6
 LEAST_GAIN = 4
@@ -61,7 +61,7 @@ class Compressors:
         self.gains: dict[str, int] = {}
 
     def gain(self, window: str) -> int:
-        """Bytes by which the best toxic dictionary makes a window shorter than the ordinary one."""
+        """Bytes by which the best toxic dictionary that shares four bytes with a window makes it shorter than the ordinary one."""
         found = self.gains.get(window)
         if found is None:
             data, sharing = as_bytes(window), self.sharing
@@ -113,6 +113,13 @@ def toxic_dictionaries(words: list[tuple[str, int]], ordinary: bytes) -> list[by
     return made
 
 
+def evidence(bad: pd.Series, good: pd.Series, n_bad: int, n_good: int) -> pd.Series:
+    """Log-likelihood ratio of a word's toxic and ordinary documents against equal shares in both."""
+    n = bad + good
+    toxic, ordinary = n * n_bad / (n_bad + n_good), n * n_good / (n_bad + n_good)
+    return 2 * (bad * np.log(np.maximum(bad, 1e-9) / toxic) + good * np.log(np.maximum(good, 1e-9) / ordinary))
+
+
 def fit_logistic(x: np.ndarray, y: np.ndarray, ridge: float = 0.5, rounds: int = 30) -> tuple[float, ...]:
     """Logistic regression with an intercept by Newton's method."""
     x = np.hstack([np.ones((len(x), 1)), x])
@@ -132,10 +139,11 @@ def fit_toxicity(labelled: DataFrame, toxic_docs: int = TOXIC_DOCS, ordinary_doc
     """Learn from text and toxic (0 or 1; other rows are passed over).
 
     A bounded sample of about `toxic_docs` and `ordinary_docs` documents is used, chosen by the
-    hash of the text. One half makes the dictionaries: words that stand in at least 2 % of its
-    toxic documents and five times as often as in ordinary ones against all other words of
-    two or more ordinary documents. The other half sets the threshold and the calibration.
-    Without documents of both kinds there is no model.
+    hash of the text. One half makes the dictionaries: words that stand in toxic documents
+    five times as often as in ordinary ones, by more than chance would do (a log-likelihood
+    ratio of 10.83, which a word of a small language reaches as soon as one of a large language),
+    against all other words of two or more ordinary documents. The other half sets the
+    threshold and the calibration. Without documents of both kinds there is no model.
     """
     spark = importable(labelled.sparkSession)
     rows = labelled.where(F.col("toxic").isin(0, 1) & F.col("text").isNotNull()).select("text", F.col("toxic").cast("int"))
@@ -156,7 +164,7 @@ def fit_toxicity(labelled: DataFrame, toxic_docs: int = TOXIC_DOCS, ordinary_doc
     if not kinds.get(0) or not kinds.get(1):
         return None
     share = (counts["bad"] / kinds[1]) / ((counts["good"] + 0.5) / kinds[0])
-    marked = (share >= MARKED) & (counts["bad"] >= max(2, LEAST_SHARE * kinds[1]))
+    marked = (share >= MARKED) & (evidence(counts["bad"], counts["good"], kinds[1], kinds[0]) >= LEAST_EVIDENCE)
     plain = ~marked & (counts["good"] >= 2) & (share < MARKED)
     plain_words = list(zip(counts["word"][plain], counts["good"][plain].astype(int)))
     ordinary = train_dictionary(plain_words or [("the", 1)], DICTIONARY_BYTES)
@@ -218,8 +226,9 @@ def score_toxicity(documents: DataFrame, model: Model | None) -> DataFrame:
     lengths with the ordinary and the best toxic dictionary; windows that gain at least the
     calibrated threshold are counted, and a logistic curve turns the count and the greatest
     gain into a score. A null or empty text has no window and the score of that; without a
-    model all scores are 0. Repeated rows are scored one by one; an empty table gives no rows;
-    other columns are not read. No shuffle: one pass over the text.
+    model all scores are 0. Repeated rows are scored one by one and alike; an empty table gives no
+    rows; other columns are not read. A very long text is scored whole and costs what its distinct
+    words cost. Dictionaries that tie give the same gain. No shuffle: one pass over the text.
     """
     score = toxicity_udf(documents.sparkSession, model)(F.col("text"))
     return documents.select("doc_id", score.alias("score")).select(

@@ -2,7 +2,10 @@ import random
 
 import numpy as np
 
-from sentilake.llm.toxicity import fit_logistic, fit_toxicity, labelled_texts, score_toxicity
+import pandas as pd
+
+from sentilake.llm.toxicity import (
+    LEAST_GAIN, LEAST_MATCH, Compressors, as_bytes, evidence, fit_logistic, fit_toxicity, labelled_texts, score_toxicity, windows)
 from tests.llm.helpers import edge_documents, edge_rows, empty_documents, sentence
 
 BAD = "dreadful pathetic worthless moron stupid".split()
@@ -53,3 +56,34 @@ def test_logistic_regression():
     x = rng.normal(size=(4000, 2))
     y = (rng.random(4000) < 1 / (1 + np.exp(-(0.5 + x @ [2.0, -1.0])))).astype(float)
     assert np.allclose(fit_logistic(x, y), [0.5, 2.0, -1.0], atol=0.25)
+
+
+def test_gains_against_compressing_with_every_dictionary(spark):
+    model = fit_toxicity(spark.createDataFrame([(t, y) for _, t, y in labelled(1, 400)], "text string, toxic int"))
+    known = Compressors(model.toxic, model.ordinary)
+    rng = random.Random(5)
+    words = {w for _, text, _ in labelled(3, 60) for w in windows(text)} | {
+        "".join(rng.choices("moronstupid" + w, k=rng.randint(1, 30))) for w in BAD for _ in range(40)} | {"", "x", BAD[0] * 500}
+    gained = 0
+    for w in words:
+        data = as_bytes(w)
+        word = data[-len(w.encode()) - 2:]
+        lengths = [len(c.compress(data)) for c in known.toxic]
+        sharing = [n for n, content in zip(lengths, model.toxic) if any(
+            word[at:at + LEAST_MATCH] in content for at in range(len(word) - LEAST_MATCH + 1))]
+        plain = len(known.ordinary.compress(data))
+        assert known.gain(w) == (plain - min(sharing) if sharing else 0)
+        # What the other dictionaries could add never reaches the gain that marks a window.
+        assert max(plain - min(lengths), LEAST_GAIN - 1) == max(known.gain(w), LEAST_GAIN - 1)
+        gained += known.gain(w) >= LEAST_GAIN
+    assert gained >= len(BAD)
+
+
+def test_evidence_against_the_plain_formula():
+    bad, good = pd.Series([4, 0, 10, 3]), pd.Series([0, 4, 100, 3])
+    got = evidence(bad, good, 20, 200)
+    for b, g, e in zip(bad, good, got):
+        rest = [x * np.log(x / ((b + g) * n / 220)) for x, n in ((b, 20), (g, 200)) if x]
+        assert abs(e - 2 * sum(rest)) < 1e-5
+    # The share of all toxic documents does not count: a rare word needs the same evidence among many more documents.
+    assert evidence(pd.Series([4]), pd.Series([0]), 2000, 20000)[0] > 10.83
