@@ -2,10 +2,8 @@ import random
 
 import numpy as np
 
-import pandas as pd
-
 from sentilake.llm.toxicity import (
-    LEAST_GAIN, LEAST_MATCH, Compressors, as_bytes, evidence, fit_logistic, fit_toxicity, labelled_texts, score_toxicity, windows)
+    LEAST_GAIN, LEAST_MATCH, Compressors, as_bytes, fit_logistic, fit_toxicity, labelled_texts, score_toxicity, windows)
 from tests.llm.helpers import edge_documents, edge_rows, empty_documents, sentence
 
 BAD = "dreadful pathetic worthless moron stupid".split()
@@ -77,13 +75,3 @@ def test_gains_against_compressing_with_every_dictionary(spark):
         assert max(plain - min(lengths), LEAST_GAIN - 1) == max(known.gain(w), LEAST_GAIN - 1)
         gained += known.gain(w) >= LEAST_GAIN
     assert gained >= len(BAD)
-
-
-def test_evidence_against_the_plain_formula():
-    bad, good = pd.Series([4, 0, 10, 3]), pd.Series([0, 4, 100, 3])
-    got = evidence(bad, good, 20, 200)
-    for b, g, e in zip(bad, good, got):
-        rest = [x * np.log(x / ((b + g) * n / 220)) for x, n in ((b, 20), (g, 200)) if x]
-        assert abs(e - 2 * sum(rest)) < 1e-5
-    # The share of all toxic documents does not count: a rare word needs the same evidence among many more documents.
-    assert evidence(pd.Series([4]), pd.Series([0]), 2000, 20000)[0] > 10.83
