@@ -287,7 +287,9 @@ def identify_languages(documents: DataFrame, model: Model) -> DataFrame:
 
     A null text, or one without a letter, is `und` with score 0; so is every text where nothing
     was learned. Ties go to the first language by name. Repeated rows are judged one by one; an
-    empty table gives no rows; other columns are not read. No shuffle: one pass over the text.
+    empty table gives no rows; other columns are not read. Very long texts are judged whole. A
+    word of over 64 letters is scored in parts of 64, and words of over 14 letters are learned
+    in parts of 14, so no segmentation crosses such a border. No shuffle: one pass over the text.
     """
     judged = language_udf(documents.sparkSession, model)(F.col("text"))
     return documents.select("doc_id", judged.alias("_l")).select("doc_id", "_l.lang_pred", "_l.score")

@@ -145,7 +145,8 @@ def mix_sources(documents: DataFrame, block: int = BLOCK_WORDS, shard_slots: int
 
     A null source is a source of its own; null and empty texts have size 0 and take nothing;
     equal rows are laid out one after the other; an empty table gives no rows. Other
-    columns are not read. All draws are hashes, so reruns agree.
+    columns are not read. A very long text lies over as many blocks as its words need; ties of the
+    hashed order go by doc_id and size. All draws are hashes, so reruns agree.
     """
     sized = stash(documents.select("source", "doc_id", word_count(F.col("text")).alias("size")), "mixing")
     sizes = sized.groupBy("source").agg(F.sum("size").alias("source_size"))
