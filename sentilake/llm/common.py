@@ -1,9 +1,13 @@
 """Shared helpers of the training-data operators."""
 from __future__ import annotations
 
+import ctypes
+import gc
 import os
+import sys
 from collections.abc import Callable
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -32,12 +36,27 @@ _HELD: dict[str, Callable[[], None]] = {}
 
 
 def hold(name: str, clear: Callable[[], None]) -> None:
-    """Say in a Python worker that `name` keeps tables there. Those of other operators, which ran in it before, are dropped."""
-    for other in [n for n in _HELD if n != name]:
+    """Say in a Python worker that `name` keeps tables there. Those of other operators, which ran in it before, are dropped.
+
+    What they took is given back to the system, as a worker lives on from one operator to the next.
+    """
+    others = [n for n in _HELD if n != name]
+    for other in others:
         _HELD.pop(other)()
+    if others:
+        give_back()
     _HELD[name] = clear
 
 
+def give_back() -> None:
+    """Return freed memory to the system, where the C library can: many small freed objects otherwise stay with the process."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None) if sys.platform == "linux" else None
+    if trim is not None:
+        trim(0)
+
+
 def importable(spark: SparkSession) -> SparkSession:
     """Let Python workers import this package from where the driver has it.
 
