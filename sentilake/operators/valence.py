@@ -11,7 +11,7 @@ from sentilake.functions import wordlists as WL
 from sentilake.functions.text import label_by_limit
 from sentilake.operators.joins import lookup
 
-EDGE_MARKS = r"[!-/:-@\[-`{-~]+"
+EDGE_MARKS = "!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~"
 
 
 @dataclass(frozen=True)
@@ -37,10 +37,10 @@ class ValenceRules:
 
 def valence_words(text: Column) -> Column:
     """Words between white space without punctuation at their ends; what would be two characters or less stays as it is."""
-    raw = F.filter(F.split(F.coalesce(text, F.lit("")), r"\s+"), lambda w: w != "")
+    raw = F.array_remove(F.split(F.coalesce(text, F.lit("")), r"\s+"), "")
 
     def bare(word: Column) -> Column:
-        cut = F.regexp_replace(word, f"^{EDGE_MARKS}|{EDGE_MARKS}$", "")
+        cut = F.btrim(word, F.lit(EDGE_MARKS))
         return F.when(F.length(cut) <= 2, word).otherwise(cut)
 
     return F.transform(raw, bare)
@@ -54,15 +54,17 @@ def _one_of(word: Column, words: Collection[str]) -> Column:
     return F.coalesce(word.isin(sorted(words)), F.lit(False))
 
 
-def _context(words: Column, at: Column, mixed: Column, rules: ValenceRules) -> Column:
-    """What the words before position `at` do to it, nearest first: a boost to add and a factor to multiply by.
+def _context(near: Column, mixed: Column, rules: ValenceRules) -> Column:
+    """What the words before a word do to it, nearest first: a boost to add and a factor to multiply by.
+
+    `near` holds the word itself and those before it, backwards.
 
     "never so" and "never this" strengthen instead of turning; "without doubt" leaves as it is.
     """
     before = []
     for distance, decay in enumerate(rules.decay, 1):
-        raw = F.get(words, at - distance)
-        word, between = F.lower(raw), [F.lower(F.get(words, at - d)) for d in range(1, distance)]
+        raw = F.get(near, F.lit(distance))
+        word, between = F.lower(raw), [F.lower(F.get(near, F.lit(d))) for d in range(1, distance)]
         boost = F.when(_one_of(word, rules.raising), F.lit(rules.degree)).when(_one_of(word, rules.lowering), F.lit(-rules.degree))
         boost = (boost + F.when(mixed & in_capitals(raw), F.lit(rules.capitals)).otherwise(0.0)) * F.lit(decay)
         turned = _one_of(word, rules.negators) | F.coalesce(word.contains("n't"), F.lit(False))
@@ -75,9 +77,9 @@ def _context(words: Column, at: Column, mixed: Column, rules: ValenceRules) -> C
     return F.array(*before)
 
 
-def _least(words: Column, at: Column) -> Column:
+def _least(near: Column) -> Column:
     """"least" turns the next word, but "at least" and "very least" do not."""
-    return _one_of(F.lower(F.get(words, at - 1)), ("least",)) & ~_one_of(F.lower(F.get(words, at - 2)), ("at", "very"))
+    return _one_of(F.lower(F.get(near, F.lit(1))), ("least",)) & ~_one_of(F.lower(F.get(near, F.lit(2))), ("at", "very"))
 
 
 def _strength(hits: Column, hit: Column, k: Column, reach: int) -> Column:
@@ -109,37 +111,36 @@ def valence_scores(df: DataFrame, valences: DataFrame, rules: ValenceRules = Val
     word count half, those after it one and a half. Exclamation and question marks push the sum
     further from zero. compound = s / sqrt(s * s + 15) to four digits; labels by 0.05, inclusive.
 
-    Rules about neighbours are worked out inside the row, so only known words are shuffled, and a
-    review's words never meet another's. Degree words are worth nothing themselves. A text without a
+    A word takes its few neighbours along to the lookup, and rules about them are worked out for known
+    words alone; only these are shuffled, and a review's words never meet another's. Degree words are worth nothing themselves. A text without a
     known word, an empty or a null one gets 0 and neutral.
     """
     words, at = F.col("_words"), F.col("_at")
-    lower = F.transform(words, F.lower)
-    n_caps = F.size(F.filter(words, in_capitals))
+    mixed = F.exists(words, lambda w: ~in_capitals(w)) & F.exists(words, in_capitals)
     text = F.coalesce(F.col(text_col), F.lit(""))
     marks = F.least(F.length(text) - F.length(F.replace(text, F.lit("!"), F.lit(""))), F.lit(4)) * F.lit(rules.exclamation)
     asked = F.length(text) - F.length(F.replace(text, F.lit("?"), F.lit("")))
     marks = marks + F.when(asked > 3, F.lit(rules.many_questions)).when(asked > 1, asked * F.lit(rules.question)).otherwise(0.0)
 
     cut = df.select(row_id, marks.alias("_marks"), valence_words(F.col(text_col)).alias("_words"))
-    cut = cut.select(row_id, "_marks", "_words", ((n_caps > 0) & (n_caps < F.size(words))).alias("_mixed"),
-                     F.array_position(F.transform(lower, lambda w: w.isin(sorted(rules.contrast))), True).alias("_contrast"))
-    in_place = F.transform(words, lambda w, i: F.struct(
-        F.lower(w).alias("token"), (F.col("_mixed") & in_capitals(w)).alias("caps"),
-        _context(words, i, F.col("_mixed"), rules).alias("before"), _least(words, i).alias("least")))
-    tokens = cut.select(row_id, "_marks", "_contrast", F.posexplode_outer(in_place).alias("_at", "_word")).select(
-        row_id, "_marks", "_contrast", at, F.col("_word.token").alias("token"), F.col("_word.caps").alias("_caps"),
-        F.col("_word.before").alias("_before"), F.col("_word.least").alias("_least"))
+    cut = cut.select(row_id, "_marks", "_words", mixed.alias("_mixed"), F.array_position(
+        F.transform(words, lambda w: F.lower(w).isin(sorted(rules.contrast))), True).alias("_contrast"))
+    reach = max(len(rules.decay), 2)
+    near = F.array(*[F.get(words, at - d) for d in range(reach + 1)])
+    tokens = cut.select("*", F.posexplode_outer("_words").alias("_at", "_word")).select(
+        row_id, "_marks", "_contrast", "_mixed", at, F.lower("_word").alias("token"), near.alias("_near"))
 
     table = valences.select("token", F.col("value").cast("double").alias("value"))
     found = lookup(tokens, table, ["token"], "left", spread_by=row_id, bounded=bounded).where(
         F.col("value").isNotNull() | F.coalesce(at == 0, F.lit(True)))  # the first word stands for the text
     plain = F.when(F.col("token").isin(sorted({*rules.raising, *rules.lowering})), 0.0).otherwise(F.col("value"))
-    value = plain + F.when(F.col("_caps") & (plain != 0), F.signum(plain) * F.lit(rules.capitals)).otherwise(0.0)
+    caps = F.col("_mixed") & in_capitals(F.get("_near", F.lit(0)))
+    value = plain + F.when(caps & (plain != 0), F.signum(plain) * F.lit(rules.capitals)).otherwise(0.0)
     weight = F.when((F.col("_contrast") == 0) | (at == F.col("_contrast") - 1), 1.0).when(
         at < F.col("_contrast") - 1, F.lit(rules.before_contrast)).otherwise(F.lit(rules.after_contrast))
     hit = F.when(F.col("value").isNotNull(), F.struct(
-        at.alias("at"), value.alias("value"), F.col("_before").alias("before"), F.col("_least").alias("least"),
+        at.alias("at"), value.alias("value"), _context(F.col("_near"), F.col("_mixed"), rules).alias("before"),
+        _least(F.col("_near")).alias("least"),
         F.lit(rules.negation).alias("negation"), weight.alias("weight")))
     per_text = found.groupBy(row_id).agg(F.max("_marks").alias("_marks"), F.sort_array(F.collect_list(hit)).alias("_hits"))
 
