@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from sentilake.functions import wordlists as WL
 from sentilake.functions.text import let
 from sentilake.operators.joins import lookup
+from sentilake.session import store
 
 
 def _argmax_label(scores: Column) -> Column:
@@ -24,7 +25,10 @@ def fit_multinomial(counts: DataFrame, labels: DataFrame, vocabulary: DataFrame,
     """(term, lp): per term the log likelihoods in class order, plus row null with the priors.
 
     counts (row_id, term, n), labels (row_id, y), vocabulary (term). The prior is not smoothed.
+    The labels are read twice and written once. Then no condition that chose them, where it follows from the row id,
+    is worked out again for every count.
     """
+    labels = store(labels.select(row_id, label), "bayes-labels")
     per = counts.join(labels.select(row_id, label), row_id)
     sums = per.groupBy("term").agg(*[F.sum(F.when(F.col(label) == c, F.col("n"))).alias(f"c{i}")
                                      for i, c in enumerate(classes)])

@@ -6,7 +6,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from sentilake.functions.text import clean_vector, let, tokenize
+from sentilake.functions.text import clean_vector, tokenize
 from sentilake.operators.joins import class_map, lookup
 from sentilake.session import materialize
 
@@ -23,13 +23,11 @@ def term_totals(df: DataFrame, text_col: str = "review_text", kind: str = "words
     The document count comes from each text's distinct terms, so no distinct aggregate
     over (document, term) pairs is needed, and a frequent term is summed before it moves.
     """
-    def marks(t: Column) -> Column:
-        seen = F.transform(t, lambda x: F.struct(x.alias("term"), F.lit(1).alias("n"), F.lit(0).alias("d")))
-        once = F.transform(F.array_distinct(t),
-                           lambda x: F.struct(x.alias("term"), F.lit(0).alias("n"), F.lit(1).alias("d")))
-        return F.concat(seen, once)
-    rows = df.select(F.inline(let(_text_tokens(text_col, kind), marks)))
-    return rows.groupBy("term").agg(F.sum("n").alias("n"), F.sum("d").alias("docs"))
+    tokens = df.select(_text_tokens(text_col, kind).alias("_t"))
+    # The tokens (0) and the distinct ones (1) are exploded as they are: no function is called for each token.
+    parts = tokens.select(F.posexplode(F.array("_t", F.array_distinct("_t"))).alias("d", "_part"))
+    rows = parts.select("d", F.explode("_part").alias("term"))
+    return rows.groupBy("term").agg(F.sum(1 - F.col("d")).alias("n"), F.sum("d").alias("docs"))
 
 
 def bow_vocabulary(df: DataFrame, text_col: str = "review_text", max_features: int = MAX_FEATURES,
