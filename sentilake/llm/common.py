@@ -5,7 +5,8 @@ import ctypes
 import gc
 import os
 import sys
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -57,6 +58,24 @@ def give_back() -> None:
         trim(0)
 
 
+@contextmanager
+def small_batches(spark: SparkSession, size: str = "4m") -> Iterator[None]:
+    """Hand rows to Python workers in Arrow batches of about `size` while an action runs.
+
+    A batch is held on both sides at once, in every task of an executor.
+    """
+    name = "spark.sql.execution.arrow.maxBytesPerBatch"
+    before = spark.conf.get(name, None)
+    spark.conf.set(name, size)
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(name)
+        else:
+            spark.conf.set(name, before)
+
+
 def importable(spark: SparkSession) -> SparkSession:
     """Let Python workers import this package from where the driver has it.
 

@@ -9,16 +9,17 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from sentilake.llm.common import hold, importable
+from sentilake.llm.common import hold, importable, small_batches, stash
 
 END_ID = 2
-MAX_CACHED = 400_000
-ROWS_PER_BATCH = 256
+MAX_CACHED = 250_000
+BYTES_PER_STEP = 4 << 20
 WORDS_PER_CALL = 512
 SPACE = "\u0120"  # how byte-level vocabularies write a space
 ROW_GROUP_BYTES = 64 << 20
@@ -30,10 +31,11 @@ UNCUT = re.compile(r" (?:\s|\Z)")
 class SegmentEncoder:
     """Encodes texts by the words they repeat.
 
-    The tokenizer never joins a word with what follows its next single space, so a text is
-    cut there and each distinct piece is encoded once; texts with runs of white space are
-    encoded whole. The results are those of the library on the whole text, which a test
-    checks on arbitrary strings. The cache holds at most `MAX_CACHED` pieces.
+    The tokenizer never joins a word with what follows its next single space, so texts are
+    cut there, all pieces are numbered, and each distinct one is looked up or encoded once; texts
+    with runs of white space are encoded whole. The results are those of the library on the whole
+    text, which a test checks on arbitrary strings. Pieces that stand once are not kept; beyond `MAX_CACHED`
+    pieces, only those of the texts at hand stay.
     """
 
     def __init__(self, path: str):
@@ -62,19 +64,59 @@ class SegmentEncoder:
         data, starts = ids.tobytes(), (4 * np.flatnonzero(self.opens[ids])).tolist()
         return [data[a:b] for a, b in zip(starts, [*starts[1:], len(data)])]
 
-    def encode(self, texts: list[str]) -> list[bytes]:
-        """Ids of every text as little-endian unsigned 32-bit integers, without an end id."""
-        cut = [None if UNCUT.search(t) else t.split(" ") for t in texts]
-        heads = [words.pop(0) if words is not None else None for words in cut]
+    def _words(self, words: list[str], counts: list[int]) -> list[bytes]:
+        """Ids of words with a space before them. Only words that stand more than once in the texts at hand are kept."""
         if len(self.later) > MAX_CACHED:
-            self.first, self.later = {}, {}
-        new = list(set().union(*filter(None, cut)).difference(self.later))
-        self.later.update(zip(new, self._spaced(new), strict=True))
-        new = list({head for head in heads if head is not None}.difference(self.first))
+            kept = self.later
+            self.later = {word: kept[word] for word in words if word in kept}
+        found = list(map(self.later.get, words))
+        new = [k for k, ids in enumerate(found) if ids is None]
+        for k, ids in zip(new, self._spaced([words[k] for k in new]), strict=True):
+            found[k] = ids
+            if counts[k] > 1:
+                self.later[words[k]] = ids
+        return found
+
+    def encode_joined(self, texts: list[str], tail: bytes = b"") -> tuple[pa.Buffer, np.ndarray]:
+        """Ids of all texts in one buffer, `tail` after each, and where each text's begin in it (in ids), with the end.
+
+        All words are numbered in one call; each distinct one is looked up once, and ids are then taken by number.
+        """
+        whole = [k for k, text in enumerate(texts) if UNCUT.search(text)]
+        rest = list(texts)
+        for k in whole:
+            rest[k] = ""
+        lists = pc.split_pattern(pa.array(rest, pa.large_string()), " ")
+        starts = lists.offsets.to_numpy().astype(np.int64)
+        coded = lists.flatten().dictionary_encode()
+        words, at = coded.dictionary.to_pylist(), coded.indices.to_numpy().astype(np.int64)
+        heads = starts[:-1]
+        head_words, head_at = np.unique(at[heads], return_inverse=True)
+        counts = np.bincount(at, minlength=len(words)) - np.bincount(at[heads], minlength=len(words))
+        spaced = np.flatnonzero(counts)
+        unit_of = np.zeros(len(words), np.int64)
+        unit_of[spaced] = np.arange(len(spaced))
+        names = [words[k] for k in head_words.tolist()]
+        if len(self.first) > MAX_CACHED:
+            self.first = {}
+        new = [name for name in names if name not in self.first]
         self.first.update(zip(new, self._bytes(new)))
-        ids_of = self.later.__getitem__
-        return [self._bytes([text])[0] if head is None else self.first[head] + b"".join(map(ids_of, words))
-                for text, head, words in zip(texts, heads, cut)]
+        units = [*self._words([words[k] for k in spaced.tolist()], counts[spaced].tolist()), *[self.first[name] for name in names],
+                 *self._bytes([texts[k] for k in whole]), tail]
+        at = unit_of[at]
+        at[heads] = len(spaced) + head_at
+        at[heads[whole]] = len(spaced) + len(names) + np.arange(len(whole))
+        order = np.insert(at, starts[1:], len(units) - 1)
+        ids = pa.array(units, pa.large_binary()).take(pa.array(order))
+        _, offsets, data = ids.buffers()
+        begins = np.frombuffer(offsets, np.int64, len(order) + 1)[starts + np.arange(len(starts))] // 4
+        return data, begins
+
+    def encode(self, texts: list[str]) -> list[bytes]:
+        """Ids of every text as little-endian unsigned 32-bit integers, without an end id."""
+        data, begins = self.encode_joined(texts)
+        ids = data.to_pybytes() if data is not None else b""
+        return [ids[4 * a:4 * b] for a, b in zip(begins[:-1].tolist(), begins[1:].tolist())]
 
 
 @lru_cache(maxsize=2)
@@ -87,22 +129,30 @@ def _tokenizer_path(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def _steps(texts: pa.Array) -> Iterator[tuple[int, int]]:
+    """Places from and to which rows are encoded at once: about `BYTES_PER_STEP` of text, one row at least."""
+    sizes = pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False)
+    ends, at = np.cumsum(sizes, dtype=np.int64), 0
+    while at < len(sizes):
+        to = max(at + 1, int(np.searchsorted(ends, ends[at] - sizes[at] + BYTES_PER_STEP, side="right")))
+        yield at, to
+        at = to
+
+
 def _encode_partition(batches: Iterator[pa.RecordBatch], tokenizer: str, end_id: int) -> Iterator[pa.RecordBatch]:
     hold("tokens", encoder.cache_clear)
     enc, tail = encoder(_tokenizer_path(tokenizer)), np.asarray([end_id], "<u4").tobytes()
     part, start = TaskContext.get().partitionId(), 0
     for whole in batches:
-        for at in range(0, whole.num_rows, ROWS_PER_BATCH):
-            batch = whole.slice(at, ROWS_PER_BATCH)
-            coded = [x + tail for x in enc.encode([t or "" for t in batch.column(1).to_pylist()])]
-            sizes = np.fromiter((len(x) // 4 for x in coded), np.int64, len(coded))
-            ends = np.cumsum(sizes)
-            values = pa.Array.from_buffers(pa.int32(), int(ends[-1]), [None, pa.py_buffer(b"".join(coded))])
-            lists = pa.ListArray.from_arrays(pa.array(np.concatenate(([0], ends)).astype(np.int32)), values)
+        for at, to in _steps(whole.column(1)):
+            batch = whole.slice(at, to - at)
+            data, begins = enc.encode_joined([t or "" for t in batch.column(1).to_pylist()], tail)
+            values = pa.Array.from_buffers(pa.int32(), int(begins[-1]), [None, data])
+            lists = pa.ListArray.from_arrays(pa.array(begins.astype(np.int32)), values)
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(np.full(len(coded), part, np.int32)), pa.array(start + ends - sizes),
-                 pa.array(sizes), lists], names=["doc_id", "part", "first", "n_tokens", "ids"])
-            start += int(ends[-1])
+                [batch.column(0), pa.array(np.full(batch.num_rows, part, np.int32)), pa.array(start + begins[:-1]),
+                 pa.array(np.diff(begins)), lists], names=["doc_id", "part", "first", "n_tokens", "ids"])
+            start += int(begins[-1])
 
 
 def write_token_files(documents: DataFrame, path: str, tokenizer: str = "byte_bpe_50k.json",
@@ -127,10 +177,11 @@ def write_token_files(documents: DataFrame, path: str, tokenizer: str = "byte_bp
     coded = ordered.mapInArrow(
         lambda batches: _encode_partition(batches, tokenizer, end_id),
         f"doc_id {kind}, part int, first bigint, n_tokens bigint, ids array<int>")
-    (coded.write.option("parquet.block.size", ROW_GROUP_BYTES).option("parquet.page.size", PAGE_BYTES)
-     .option("parquet.writer.version", "v2").option("parquet.enable.dictionary", "true")
-     .option("parquet.enable.dictionary#doc_id", "false").option("parquet.enable.dictionary#first", "false")
-     .option("parquet.enable.dictionary#n_tokens", "false").parquet(f"{path}/tokens"))
+    with small_batches(spark):
+        (coded.write.option("parquet.block.size", ROW_GROUP_BYTES).option("parquet.page.size", PAGE_BYTES)
+         .option("parquet.writer.version", "v2").option("parquet.enable.dictionary", "true")
+         .option("parquet.enable.dictionary#doc_id", "false").option("parquet.enable.dictionary#first", "false")
+         .option("parquet.enable.dictionary#n_tokens", "false").parquet(f"{path}/tokens"))
     files = (spark.read.parquet(f"{path}/tokens").groupBy("part")
              .agg(F.sum("n_tokens").alias("n_tokens"), F.count(F.lit(1)).alias("n_docs")))
     before = F.coalesce(F.sum("n_tokens").over(Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
@@ -148,6 +199,7 @@ def read_token_files(spark: SparkSession, path: str) -> DataFrame:
 
 
 def _checksums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    hold("checksums", lambda: None)  # the words of the encoder are needed no longer
     for batch in batches:
         lists = batch.column("ids")
         ids, offsets = lists.values.to_numpy(zero_copy_only=False).astype("<u4", copy=False), lists.offsets.to_numpy()
@@ -158,8 +210,9 @@ def _checksums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def token_digest(tokens: DataFrame) -> DataFrame:
-    """What the files hold of each document: doc_id, start, n_tokens and the crc32 of its ids."""
-    importable(tokens.sparkSession)
+    """What the files hold of each document: doc_id, start, n_tokens and the crc32 of its ids. It is worked out at once."""
+    spark = importable(tokens.sparkSession)
     kind = tokens.schema["doc_id"].dataType.simpleString()
-    return tokens.select("doc_id", "start", "ids").mapInArrow(
-        _checksums, f"doc_id {kind}, start bigint, n_tokens bigint, ids_crc32 bigint")
+    with small_batches(spark):
+        return stash(tokens.select("doc_id", "start", "ids").mapInArrow(
+            _checksums, f"doc_id {kind}, start bigint, n_tokens bigint, ids_crc32 bigint"), "token-digest")
