@@ -8,3 +8,14 @@ def test_files_grow_with_the_table(spark, tmp_path):
         assert _arriving(rows, f"{tmp_path}/{parts}") == files // 2
         assert len(list((tmp_path / str(parts)).glob("*.parquet"))) == files
         assert spark.read.parquet(f"{tmp_path}/{parts}").count() == 200
+
+
+def test_a_file_holds_a_bounded_part_of_the_text(spark, tmp_path, monkeypatch):
+    """Few partitions, equal and null ids: files follow the bytes of the text."""
+    from checks import catalog_models
+    monkeypatch.setattr(catalog_models, "ARRIVING_BYTES", 1000)
+    rows = spark.createDataFrame([(None if i % 2 else 7, f"{i:04d}" * 25) for i in range(200)],
+                                 "row_id bigint, review_text string").repartition(2)
+    assert _arriving(rows, f"{tmp_path}/in") == 10
+    sizes = [r["count"] for r in spark.read.parquet(f"{tmp_path}/in").selectExpr("input_file_name() AS f").groupBy("f").count().collect()]
+    assert sum(sizes) == 200 and len(sizes) >= 18 and max(sizes) < 40
