@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sentilake.llm.common import importable, stash
+from sentilake.llm.common import hold, importable, stash
 from sentilake.llm.shingles import (BAND_ROWS, BANDS, BUCKET_BITS, FINE_BANDS, FINE_ROWS, band_keys, bucket_counts,
                                     idf_weights, shingles, weighted_jaccard, weighted_samples)
 
@@ -36,6 +36,7 @@ def document_frequencies(documents: DataFrame) -> np.ndarray:
     bounded by the number of buckets.
     """
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hold("near-duplicates", lambda: None)
         total = np.zeros(1 << BUCKET_BITS, np.int64)
         for batch in batches:
             for part in _parts(batch):
@@ -60,6 +61,7 @@ def signatures(documents: DataFrame, idf: np.ndarray) -> DataFrame:
     kind = documents.schema["doc_id"].dataType.simpleString()
 
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hold("near-duplicates", lambda: None)
         weights, seen = sent.value, set()
         for batch in batches:
             for part in _parts(batch):

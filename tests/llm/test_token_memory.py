@@ -36,3 +36,11 @@ def test_batch_size_is_set_back(spark):
     with common.small_batches(spark, "1m"):
         assert spark.conf.get(name) != before
     assert spark.conf.get(name) == before
+
+
+def test_near_duplicates_let_go_of_other_tables():
+    import inspect
+
+    from sentilake.llm import near_duplicates
+    for step in (near_duplicates.document_frequencies, near_duplicates.signatures):
+        assert 'hold("near-duplicates"' in inspect.getsource(step)
