@@ -18,6 +18,8 @@ SMALL_BUCKET = 8
 MEDIUM_BUCKET = 64
 TEXTS_PER_STEP = 32
 SALT_ROWS = 1024
+PLACE_BITS = 24
+SLICE_BITS = 6
 
 
 def _parts(batch: pa.RecordBatch, n: int = TEXTS_PER_STEP) -> Iterator[pa.RecordBatch]:
@@ -152,32 +154,86 @@ def open_nodes(buckets: DataFrame, roots: DataFrame) -> DataFrame:
     return known.join(several.select("key"), "key", "left_semi").select("node", "root").distinct()
 
 
-def prefix_entries(nodes: DataFrame, idf: np.ndarray, similarity: float) -> DataFrame:
-    """The shingles by which a node (node, group, shingles) can meet one of another group.
+def _prefix(packed: bytes, weights: np.ndarray, similarity: float) -> tuple[np.ndarray, float, np.ndarray]:
+    """Shingles by which a text can meet another, its weight, and the weight from each of them on.
 
     Two texts of enough similarity share at least that part of either's weight. With shingles in one
     order for all, their first common one has at least as much weight from there on in both, so
-    only such places are returned (token, node, group, weight, rest). The order is that of the
-    documents that hold a shingle's bucket, rare before frequent, which every task knows without
-    a shuffle.
+    only such places are returned. The order is that of the documents that hold a shingle's bucket, rare
+    before frequent, which every task knows without a shuffle.
+    """
+    values, times = np.unique(np.frombuffer(packed, np.uint32), return_counts=True)
+    of_bucket = weights[values & np.uint32((1 << BUCKET_BITS) - 1)].astype(np.float64)
+    order = np.lexsort((values, -of_bucket))
+    rest = np.cumsum((times * of_bucket)[order][::-1])[::-1]
+    take = rest >= similarity * float(rest[0]) * (1 - 1e-9)
+    return values[order][take], float(rest[0]), rest[take]
+
+
+def _spans(places: np.ndarray, least: np.ndarray, most: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Distinct places in order, with the least and the greatest group of each."""
+    order = np.argsort(places, kind="stable")
+    places = places[order]
+    first = np.flatnonzero(np.diff(places, prepend=-1))
+    if not len(first):
+        return places, least, most
+    return places[first], np.minimum.reduceat(least[order], first), np.maximum.reduceat(most[order], first)
+
+
+def shared_places(nodes: DataFrame, idf: np.ndarray, similarity: float) -> np.ndarray:
+    """Which of 2**24 hash places of prefix shingles hold nodes (node, group, shingles) of two groups or more, a bit each.
+
+    A shingle of another place meets nobody. Tasks send each of their places once, by slices; the bits that come back
+    are 2 MB for a table of any size.
     """
     sent = nodes.sparkSession.sparkContext.broadcast(idf)
+    width = 1 << (PLACE_BITS - SLICE_BITS)
+
+    def spans(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        found = (np.zeros(0, np.int64),) * 3
+        for batch in batches:
+            places, groups = [found[0]], []
+            for packed, group in zip(batch.column("shingles").to_pylist(), batch.column("group").to_pylist()):
+                places.append((_prefix(packed, sent.value, similarity)[0] >> np.uint32(32 - PLACE_BITS)).astype(np.int64))
+                groups.append(np.full(len(places[-1]), group, np.int64))
+            found = _spans(np.concatenate(places), np.concatenate([found[1], *groups]), np.concatenate([found[2], *groups]))
+        at = np.searchsorted(found[0], np.arange((1 << SLICE_BITS) + 1) * width)
+        for k in np.flatnonzero(np.diff(at)):
+            yield pa.RecordBatch.from_arrays([pa.array([k], pa.int32()), *(pa.array([x[at[k]:at[k + 1]]], pa.list_(pa.int64())) for x in found)],
+                                             names=["slice", "places", "least", "most"])
+
+    def merge(rows: pa.Table) -> pa.Table:
+        places, least, most = _spans(*(rows.column(name).combine_chunks().flatten().to_numpy() for name in ("places", "least", "most")))
+        several = np.zeros(width, np.bool_)
+        several[places[least != most] % width] = True
+        return pa.table({"slice": rows.column("slice")[:1], "bits": pa.array([np.packbits(several).tobytes()], pa.binary())})
+
+    rows = (nodes.select("group", "shingles").mapInArrow(spans, "slice int, places array<bigint>, least array<bigint>, most array<bigint>")
+            .groupBy("slice").applyInArrow(merge, "slice int, bits binary").toArrow())
+    out = np.zeros((1 << SLICE_BITS, width // 8), np.uint8)
+    for k, bits in zip(rows.column("slice").to_pylist(), rows.column("bits").to_pylist()):
+        out[k] = np.frombuffer(bits, np.uint8)
+    return out.reshape(-1)
+
+
+def prefix_entries(nodes: DataFrame, idf: np.ndarray, similarity: float) -> DataFrame:
+    """The shingles by which a node (node, group, shingles) can meet one of another group: (token, node, group, weight, rest).
+
+    Those that stand in one group only are left out before they become rows, as far as the bits of `shared_places` tell.
+    """
+    sent = nodes.sparkSession.sparkContext.broadcast((idf, shared_places(nodes, idf, similarity)))
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bits = np.uint32((1 << BUCKET_BITS) - 1)
+        weights, bits = sent.value
         for batch in batches:
             for row in batch.to_pylist():
-                values, times = np.unique(np.frombuffer(row["shingles"], np.uint32), return_counts=True)
-                of_bucket = sent.value[values & bits].astype(np.float64)
-                order = np.lexsort((values, -of_bucket))
-                own = (times * of_bucket)[order]
-                rest = np.cumsum(own[::-1])[::-1]
-                total = float(rest[0])
-                take = rest >= similarity * total * (1 - 1e-9)
-                k = int(take.sum())
+                values, total, rest = _prefix(row["shingles"], weights, similarity)
+                place = values >> np.uint32(32 - PLACE_BITS)
+                several = (bits[place >> np.uint32(3)] >> (7 - (place & np.uint32(7))).astype(np.uint8) & 1).astype(np.bool_)
+                k = int(several.sum())
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(values[order][take].view(np.int32)), pa.array([row["node"]] * k, pa.binary()),
-                     pa.array([row["group"]] * k, pa.int64()), pa.array([total] * k, pa.float64()), pa.array(rest[take])],
+                    [pa.array(values[several].view(np.int32)), pa.array([row["node"]] * k, pa.binary()),
+                     pa.array([row["group"]] * k, pa.int64()), pa.array([total] * k, pa.float64()), pa.array(rest[several])],
                     names=["token", "node", "group", "weight", "rest"])
 
     return nodes.select("node", "group", "shingles").mapInArrow(
@@ -191,7 +247,7 @@ def prefix_pairs(nodes: DataFrame, packed: DataFrame, idf: np.ndarray, similarit
     a shingle's nodes, those outside its most frequent root meet all others, dealt over salts.
     """
     groups = stash(nodes.select("root").distinct().withColumn("group", F.monotonically_increasing_id()), "near-groups")
-    held = nodes.join(groups, "root").join(packed, "node").select("node", "group", "shingles")
+    held = stash(nodes.join(groups, "root").join(packed, "node").select("node", "group", "shingles"), "near-held")
     entries = stash(prefix_entries(held, idf, similarity), "near-entries")
     sizes = entries.groupBy("token", "group").agg(F.count(F.lit(1)).alias("n")).groupBy("token").agg(
         F.sum("n").alias("n"), F.count(F.lit(1)).alias("groups"), F.max(F.struct("n", "group"))["group"].alias("top"))

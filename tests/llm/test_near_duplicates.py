@@ -123,6 +123,31 @@ def test_pairs_in_a_large_group_are_found_without_its_hub(spark):
     assert got == {k: k - k % 2 for k in range(len(rows))}
 
 
+def test_only_shingles_of_several_groups_become_rows(spark):
+    """All prefix shingles of open texts became rows, most of which stand in one text."""
+    from sentilake.llm.near_duplicates import prefix_entries
+    rng = random.Random(9)
+    own = [np.array([rng.randrange(1 << 32) for _ in range(200)], np.uint32) for _ in range(20)]
+    common = np.array([rng.randrange(1 << 32) for _ in range(30)], np.uint32)
+    rows = [(bytes([k]), k % 5, np.sort(np.concatenate([own[k], common])).tobytes()) for k in range(20)]
+    rows += [(bytes([90 + k]), 77, own[0][:k].tobytes()) for k in (1, 40)]
+    idf = np.ones(1 << BUCKET_BITS, np.float32)
+    nodes = spark.createDataFrame([], "node binary, group bigint, shingles binary")
+    assert prefix_entries(nodes, idf, 0.8).count() == 0
+    nodes = spark.createDataFrame(rows, nodes.schema).repartition(3)
+    got = prefix_entries(nodes, idf, 0.8).collect()
+    groups, every = defaultdict(set), defaultdict(set)
+    for node, group, packed in rows:
+        values = np.sort(np.frombuffer(packed, np.uint32))
+        for place, v in enumerate(values):
+            if len(values) - place >= 0.8 * len(values) * (1 - 1e-9):
+                groups[int(v)].add(group)
+                every[int(v)].add(node)
+    want = {(v, node) for v, found in groups.items() if len(found) > 1 for node in every[v]}
+    have = {(r["token"] & 0xFFFFFFFF, bytes(r["node"])) for r in got}
+    assert want and want <= have and len(have) <= len(want) + 5 and len(got) == len(have)
+
+
 def test_one_row_of_each_class_stays(spark):
     rows = families()
     docs = edge_documents(spark, rows)
