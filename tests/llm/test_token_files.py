@@ -60,3 +60,15 @@ def test_empty_table(spark):
     path = work_path(spark, "tokens")
     write_token_files(empty_documents(spark), path)
     assert token_digest(read_token_files(spark, path)).count() == 0
+
+
+def test_words_and_their_end_marks_are_kept_apart():
+    """A word before a comma was another word; the ids are those of the whole text."""
+    from sentilake.llm.token_files import SegmentEncoder
+    enc = SegmentEncoder(PATH)
+    texts = ["a river river river, river. river's (river) \"river\" river%%% ñi. ñi ×. ÷, x", "river, river", "end.", "e.\nf. g's' h'", "a, \x01, b", "\x01",
+             "don't, we'll. it's! a.b, c-d; 1, 2. _x_ y_ z`", "naïve, Été! İ. ß? ﬁ, 中, á. b­, ok",
+             "a,  b", "a, ", " a, b", "", ",", ", ,"]
+    assert enc.encode(texts) == [np.asarray(enc.tokenizer.encode(t, add_special_tokens=False).ids, "<u4").tobytes() for t in texts]
+    assert not any(w.endswith((",", ".", "%")) and w[:-1].isascii() and w[:-1].isalpha() for w in enc.later)
+    assert "river" in enc.later
