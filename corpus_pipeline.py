@@ -16,6 +16,15 @@ from sentilake.llm.near_duplicates import one_of_each_class
 from sentilake.llm.token_files import read_token_files, token_digest, write_token_files
 
 LEAST_POSTERIOR = 0.5
+ARROW_BATCH = "4m"
+
+
+def bound_batches(spark: SparkSession) -> None:
+    """Hand texts to Python in small Arrow batches from here on, as a stage runs after its function has returned.
+
+    A batch is held by executor and worker at once, and what it took stays with both.
+    """
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", ARROW_BATCH)
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -24,6 +33,7 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     The model learns from labelled documents of two of three folds; a document's own label
     does not count. Without any labelled document nothing is known and all are dropped.
     """
+    bound_batches(spark)
     model = fit_languages(docs.where(fold("doc_id", 3) != 1).select("text", "lang"))
     judged = language_udf(spark, model)(F.col("text"))
     return docs.where((judged["lang_pred"] != "und") & (judged["score"] >= LEAST_POSTERIOR))
@@ -36,6 +46,7 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drop documents that hold a passage of a benchmark item."""
+    bound_batches(spark)
     return without_leaks(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
 
 

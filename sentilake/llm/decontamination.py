@@ -11,7 +11,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sentilake.llm.common import importable
+from sentilake.llm.common import hold, importable
 
 ERROR_RATE = 0.08
 MIN_CHARS = 25
@@ -153,6 +153,7 @@ def finder_udf(spark: SparkSession, items: list[str], rate: float):
     key = hashlib.sha256("\0".join([str(rate), *items]).encode()).hexdigest()
 
     def leaks(texts: pd.Series) -> pd.Series:
+        hold("decontamination", _FINDERS.clear)
         if key not in _FINDERS:
             _FINDERS.clear()
             _FINDERS[key] = LeakFinder(sent.value, rate)

@@ -44,3 +44,33 @@ def test_near_duplicates_let_go_of_other_tables():
     from sentilake.llm import near_duplicates
     for step in (near_duplicates.document_frequencies, near_duplicates.signatures):
         assert 'hold("near-duplicates"' in inspect.getsource(step)
+
+
+def test_decontamination_lets_go_of_other_tables_and_is_let_go_of(monkeypatch):
+    """Its automaton stayed in a worker for good."""
+    import inspect
+
+    from sentilake.llm import decontamination
+    assert 'hold("decontamination", _FINDERS.clear)' in inspect.getsource(decontamination.finder_udf)
+    monkeypatch.setattr(common, "_HELD", {})
+    decontamination._FINDERS["key"] = object()
+    common.hold("decontamination", decontamination._FINDERS.clear)
+    common.hold("tokens", lambda: None)
+    assert not decontamination._FINDERS
+
+
+def test_python_steps_of_the_pipeline_get_small_batches(spark, monkeypatch):
+    import corpus_pipeline
+    from sentilake.llm import near_duplicates
+    from tests.llm.helpers import empty_documents
+    name, seen = "spark.sql.execution.arrow.maxBytesPerBatch", []
+    before = spark.conf.get(name)
+    try:
+        corpus_pipeline.bound_batches(spark)
+        assert spark.conf.get(name) == corpus_pipeline.ARROW_BATCH != before
+    finally:
+        spark.conf.set(name, before)
+    old = near_duplicates.signatures
+    monkeypatch.setattr(near_duplicates, "signatures", lambda *a: seen.append(spark.conf.get(name)) or old(*a))
+    near_duplicates.near_duplicate_classes(empty_documents(spark))
+    assert seen == ["4m"] and spark.conf.get(name) == before
